@@ -56,6 +56,12 @@ def shingle_hashes(tokens: Column, n: int) -> Column:
     return let(tokens, runs)
 
 
+def doc_key(*cols: str) -> Column:
+    """16 bytes that name the values of the columns (null apart from empty); equal rows, equal keys."""
+    parts = [F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("-")) for c in cols]
+    return F.substring(F.unhex(F.sha2(F.concat_ws("|", *parts), 256)), 1, 16)
+
+
 def hinted(df: DataFrame, rows: int) -> DataFrame:
     """df marked for broadcast only where its counted rows are few; else Spark joins by shuffle."""
     return F.broadcast(df) if rows <= SMALL_ROWS else df

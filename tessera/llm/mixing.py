@@ -106,8 +106,7 @@ def _rounded(items: DataFrame) -> DataFrame:
 
 
 def _units(docs: DataFrame) -> DataFrame:
-    key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.hex(F.col("source")), F.lit("-")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256)
-    return docs.select("doc_id", "source", common.n_words(F.col("text")).alias("size"), F.substring(F.unhex(key), 1, 16).alias("id"))
+    return docs.select("doc_id", "source", common.n_words(F.col("text")).alias("size"), common.doc_key("doc_id", "source", "text").alias("id"))
 
 
 def copies(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
@@ -127,8 +126,7 @@ def copies(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
 def mixed(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it."""
     taken = copies(docs, max_copies, cycle).where("copies > 0").select(F.col("id").alias("_id"), F.col("copies").alias("_copies"))
-    key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.hex(F.col("source")), F.lit("-")), F.sha2(F.coalesce("text", F.lit("")), 256)), 256)
-    rows = docs.withColumn("_key", F.substring(F.unhex(key), 1, 16)).join(taken, F.col("_key") == F.col("_id"))
+    rows = docs.withColumn("_key", common.doc_key("doc_id", "source", "text")).join(taken, F.col("_key") == F.col("_id"))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 

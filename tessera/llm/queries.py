@@ -6,9 +6,15 @@ import importlib
 
 _MODULES = {
     "op1_mix_sources": "mixing",
+    "op2_lm_score": "lm_scoring",
     "op3_decontaminate": "decontaminate",
     "op4_shard": "sharding",
+    "op5_language_id": "language_id",
     "op6_near_dedup": "near_dedup",
+    "op7_toxicity": "toxicity",
+    "op8_html_text": "html_text",
+    "op9_fingerprints": "fingerprints",
+    "op10_line_dedup": "line_dedup",
 }
 
 
