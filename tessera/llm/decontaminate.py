@@ -68,8 +68,10 @@ def contained(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int = 80
 
 def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int = 80) -> DataFrame:
     """docs without the documents that hold an item."""
-    hit = contained(docs, items, n, share_pct).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    keyed = docs.select(common.doc_key("doc_id", "text").alias("key"), "text")
+    hit = common.cut(contained(keyed, items, n, share_pct, id_col="key").select(F.col("doc_id").alias("key")).distinct())
+    rows = docs.select(F.struct(*docs.columns).alias("row"), common.doc_key("doc_id", "text").alias("key"))
+    return rows.join(common.hinted(hit, hit.count()), "key", "left_anti").select("row.*")
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -125,9 +125,9 @@ def copies(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
 
 def mixed(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it."""
-    taken = copies(docs, max_copies, cycle).where("copies > 0").select(F.col("id").alias("_id"), F.col("copies").alias("_copies"))
-    rows = docs.withColumn("_key", common.doc_key("doc_id", "source", "text")).join(taken, F.col("_key") == F.col("_id"))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    taken = copies(docs, max_copies, cycle).where("copies > 0").select(F.col("id").alias("key"), "copies")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), common.doc_key("doc_id", "source", "text").alias("key")).join(taken, "key")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -10,9 +10,10 @@ components, the classes outside the bucket's largest component are compared with
 other components.  So a bucket's pairs are never all written out, and no link between two
 components is left untried.
 
-Cases.  Null or empty text, or text without words: empty set, linked with nothing, kept.  Rows that
-repeat an id take the smallest component id that any row of that id has.  A null id is a document
-with a null component id of its own text's class if no member has an id.  Other columns are ignored.
+Cases.  Null or empty text, or text without words: empty set, linked with nothing, kept.  A row is
+named by its id and text, so rows that repeat an id with other texts are documents of their own, and
+rows that repeat both are one document.  Null ids come after all others; a component of null ids
+alone has a null component id.  Other columns are ignored, and kept by keep_one().
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64, copy=False), kind))
 
 
-_SIG = "doc_id long, n_shingles long, node binary, bands array<bigint>, planes array<bigint>"
+_SIG = "doc_id long, key binary, n_shingles long, node binary, bands array<bigint>, planes array<bigint>"
 
 
 def signatures(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,7 +95,7 @@ def signatures(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes, bands, packed, none = [], [], [], [], np.empty(0, np.int64)
-            for text in batch.column(1):
+            for text in batch.column(2):
                 h = shingle_set(text.as_py(), n)
                 sizes.append(len(h))
                 if len(h):
@@ -106,13 +107,13 @@ def signatures(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
                     nodes.append(None)
                     bands.append(none)
                     packed.append(none)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), _lists(bands, pa.int64()), _lists(packed, pa.int64())], names=["doc_id", "n_shingles", "node", "bands", "planes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), _lists(bands, pa.int64()), _lists(packed, pa.int64())], names=["doc_id", "key", "n_shingles", "node", "bands", "planes"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SIG)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), common.doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, _SIG)
 
 
-def _sets(docs: DataFrame, n: int, ids: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the documents in ids (doc_id), each node once."""
+def _sets(docs: DataFrame, n: int, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles) of the documents in wanted (key), each node once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,9 +122,8 @@ def _sets(docs: DataFrame, n: int, ids: DataFrame, rows: int, id_col: str, text_
                 part = sets[i : i + 256]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in part], pa.binary()), _lists([h.view(np.int64) for h in part], pa.int64())], names=["node", "shingles"])
 
-    wanted = common.hinted(ids.withColumnRenamed("doc_id", "_want"), rows)
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_want")), "left_semi").select("text")
+    texts = docs.select(common.doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    texts = texts.join(common.hinted(wanted, rows), "key", "left_semi").select("text")
     return texts.mapInArrow(run, "node binary, shingles array<bigint>").where("node is not null").dropDuplicates(["node"])
 
 
@@ -150,24 +150,26 @@ def linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, num: int,
     pairs = pairs.join(x, "a").join(y, "b").where((F.greatest("na", "nb") * num <= F.least("na", "nb") * den) & (_estimate("pa", "pb") >= cutoff)).select("a", "b", "na", "nb")
     pairs = common.cut(pairs)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = common.cut(reps.join(nodes, "node", "left_semi").select("doc_id").distinct())
-    count = ids.count()
+    wanted = common.cut(reps.join(nodes, "node", "left_semi").select("lead.key"))
+    count = wanted.count()
     if not count:
         return pairs.select("a", "b")
-    sets = _sets(docs, n, ids, count, id_col, text_col)
+    sets = _sets(docs, n, wanted, count, id_col, text_col)
     both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     return common.cut(both.where(shared * den >= (F.col("na") + F.col("nb") - shared) * num).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_shingles, node, component_id, kept.
+    """One row a row of docs: doc_id, key, n_shingles, node, component_id, kept, stays.
+
+    kept is doc_id = component_id; stays marks the one document (key) of each group that is left.
 
     Sets of n-word shingles are linked at den * shared >= num * union; num / den should be 0.8 or
     more for the bands to miss fewer than one link in ten million.
     """
     sig = common.cut(signatures(docs, n, id_col, text_col))
-    reps = common.cut(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
+    reps = common.cut(sig.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
     keys = reps.select("node", F.explode("bands").alias("key"))
     crowded = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     places = common.cut(keys.join(crowded.select("key", "a"), "key"))  # only buckets of several classes
@@ -184,22 +186,26 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
     second = linked(docs, rest, reps, n, num, den, id_col, text_col)
     roots = common.components(first.unionByName(second))
-    classes = reps.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    classes = reps.select("node", "lead").join(roots, "node", "left").select("node", "lead", F.coalesce("root", "node").alias("root"))
     classes = common.cut(classes)
-    least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = classes.join(least, "root").select("node", "component_id")
-    out = sig.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "node", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    leads = classes.groupBy("root").agg(F.min("lead").alias("first"))
+    named = classes.join(leads, "root").select("node", "first")
+    out = sig.select("doc_id", "key", "n_shingles", "node").join(named, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    out = out.select("doc_id", "key", "n_shingles", "node", component.alias("component_id"), (F.col("node").isNull() | (F.col("key") == F.col("first.key"))).alias("stays"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("stays")))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs without all but one document of each group; the one with the smallest id stays.
-
-    Rows that repeat an id with one text stay together, as one document.
-    """
-    ids = near_duplicates(docs, n, num, den).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """docs with one row of each group: the one with the smallest id.  Rows without words all stay."""
+    found = common.cut(near_duplicates(docs, n, num, den).where("node is not null").groupBy("key").agg(F.bool_and("stays").alias("stays"), F.count(F.lit(1)).alias("rows")))
+    gone, twice = found.where("not stays or rows > 1").select("key"), found.where("stays and rows > 1").select("key")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), common.doc_key("doc_id", "text").alias("key"))
+    once = rows.join(common.hinted(gone, gone.count()), "key", "left_anti").select("row.*")
+    again = twice.count()
+    if not again:
+        return once
+    return once.unionByName(rows.join(common.hinted(twice, again), "key", "left_semi").dropDuplicates(["key"]).select("row.*"))
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
