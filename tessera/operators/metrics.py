@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.sources.io import PAIR
@@ -73,21 +74,49 @@ def threshold_grid(scored: DataFrame, truth: DataFrame, entities: DataFrame, thr
     if delta is not None:
         best = rows.groupBy("source1_entity_id").agg(F.max("score").alias("_max"))
         rows = rows.join(best, "source1_entity_id").where(F.col("score") >= F.col("_max") - F.lit(delta)).drop("_max")
-    hits = rows.join(truth.select(*PAIR).distinct().withColumn("_t", F.lit(1)), PAIR, "left")
-    hits = hits.select("source1_entity_id", F.coalesce("_t", F.lit(0)).alias("hit"), F.explode(F.filter(steps, lambda t: F.col("score") >= t)).alias("threshold"))
-    per = hits.groupBy("threshold", "source1_entity_id").agg(F.count(F.lit(1)).alias("p"), F.sum("hit").alias("tp"))
+    chosen = rows.select(*PAIR, F.explode(F.filter(steps, lambda t: F.col("score") >= t)).alias("threshold"))
+    return _macro_by(chosen, "threshold", [float(t) for t in thresholds], truth, entities)
+
+
+def _macro_by(chosen: DataFrame, by: str, values: list[float], truth: DataFrame, entities: DataFrame) -> DataFrame:
+    """Counts and macro averages of predicted pairs for every value of a double column."""
+    hits = chosen.join(truth.select(*PAIR).distinct().withColumn("_t", F.lit(1)), PAIR, "left")
+    per = hits.groupBy(by, "source1_entity_id").agg(F.count(F.lit(1)).alias("p"), F.sum(F.coalesce("_t", F.lit(0))).alias("tp"))
     true = truth.select(*PAIR).distinct().groupBy("source1_entity_id").agg(F.count(F.lit(1)).alias("t"))
     base = entities.select("source1_entity_id").distinct().join(true, "source1_entity_id", "left").select("source1_entity_id", F.coalesce("t", F.lit(0).cast("long")).alias("t"))
     per = per.join(base, "source1_entity_id")
     c = F.col("p"), F.col("t"), F.col("tp")
-    some = per.groupBy("threshold").agg(F.sum("p").alias("predicted_pairs"), F.sum("tp").alias("tp"), F.sum(f05(*c)).alias("f"), F.sum(F.col("tp") / F.col("p")).alias("pr"), F.sum(F.when(F.col("t") > 0, F.col("tp") / F.col("t")).otherwise(0.0)).alias("rc"), F.count_if(F.col("t") == 0).alias("wrong"))
+    some = per.groupBy(by).agg(F.sum("p").alias("predicted_pairs"), F.sum("tp").alias("tp"), F.sum(f05(*c)).alias("f"), F.sum(F.col("tp") / F.col("p")).alias("pr"), F.sum(F.when(F.col("t") > 0, F.col("tp") / F.col("t")).otherwise(0.0)).alias("rc"), F.count_if(F.col("t") == 0).alias("wrong"))
     whole = base.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t") == 0).alias("single"), F.coalesce(F.sum("t"), F.lit(0).cast("long")).alias("true_pairs"))
-    grid = scored.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    grid = chosen.sparkSession.createDataFrame([(v,) for v in values], f"`{by}` double")
     key = F.lit(1).alias("_one")
-    out = F.broadcast(grid).join(some, "threshold", "left").select("*", key).join(whole.select("*", key), "_one")
+    out = F.broadcast(grid).join(some, by, "left").select("*", key).join(whole.select("*", key), "_one")
     z = lambda c: F.coalesce(c, F.lit(0))
     right = F.col("single") - z("wrong")
-    return out.select("threshold", F.col("n").alias("entities"), z("tp").cast("long").alias("tp"), (z("predicted_pairs") - z("tp")).cast("long").alias("fp"), (F.col("true_pairs") - z("tp")).cast("long").alias("fn"), z("predicted_pairs").cast("long").alias("predicted_pairs"), F.col("true_pairs").cast("long").alias("true_pairs"), F.round((z("f") + right) / F.col("n"), 6).alias("macro_f05"), F.round(z("pr") / F.col("n"), 6).alias("macro_precision"), F.round(z("rc") / F.col("n"), 6).alias("macro_recall"))
+    return out.select(by, F.col("n").alias("entities"), z("tp").cast("long").alias("tp"), (z("predicted_pairs") - z("tp")).cast("long").alias("fp"), (F.col("true_pairs") - z("tp")).cast("long").alias("fn"), z("predicted_pairs").cast("long").alias("predicted_pairs"), F.col("true_pairs").cast("long").alias("true_pairs"), F.round((z("f") + right) / F.col("n"), 6).alias("macro_f05"), F.round(z("pr") / F.col("n"), 6).alias("macro_precision"), F.round(z("rc") / F.col("n"), 6).alias("macro_recall"))
+
+
+def calibration_grid(scored: DataFrame, records: DataFrame, truth: DataFrame, entities: DataFrame, thresholds: dict[str, list[float]], deltas: list[float], tops: list[int], other: float = 0.9) -> DataFrame:
+    """Macro averages of every combination of country thresholds, margin and top-k, in one pass.
+
+    A pair goes to the settings whose threshold it passes; margin and rank are taken within setting and record.
+    """
+    names = list(thresholds)
+    combos = list(product(*(thresholds[n] for n in names), deltas, tops))
+    country = records.where("source = 'S1'").select(F.col("entity_id").alias("source1_entity_id"), F.col("country_norm").alias("_c"))
+    structs = []
+    for i, combo in enumerate(combos):
+        least = F.lit(float(other))
+        for name, t in zip(names, combo):
+            least = F.when(F.col("_c") == name, F.lit(float(t))).otherwise(least)
+        structs.append(F.struct(F.lit(float(i)).alias("setting"), least.alias("least"), F.lit(float(combo[-2])).alias("delta"), F.lit(int(combo[-1])).alias("k")))
+    rows = scored.select(*PAIR, "score").join(country, "source1_entity_id", "left").select(*PAIR, "score", F.explode(F.filter(F.array(*structs), lambda s: F.col("score") >= s["least"])).alias("s"))
+    group = Window.partitionBy("setting", "source1_entity_id")
+    rows = rows.select(*PAIR, "score", "s.*").withColumn("_max", F.max("score").over(group)).withColumn("_n", F.row_number().over(group.orderBy(F.col("score").desc(), "matched_entity_id", "matched_source")))
+    chosen = rows.where((F.col("score") >= F.col("_max") - F.col("delta")) & (F.col("_n") <= F.col("k"))).select(*PAIR, "setting")
+    grid = _macro_by(chosen, "setting", [float(i) for i in range(len(combos))], truth, entities)
+    known = scored.sparkSession.createDataFrame([(float(i), *map(float, c[:-1]), int(c[-1])) for i, c in enumerate(combos)], "setting double, " + ", ".join(f"t_{n} double" for n in names) + ", delta double, top_k int")
+    return F.broadcast(known).join(grid, "setting").drop("setting")
 
 
 def best_threshold(grid: DataFrame) -> float | None:
@@ -175,9 +204,14 @@ def blend(df: DataFrame, parts: list[str], weights) -> DataFrame:
 
 
 def weight_grid(components: DataFrame, parts: list[str], truth: DataFrame, entities: DataFrame, thresholds: list[float], blends: dict = BLENDS) -> DataFrame:
-    """The threshold grid of every blend."""
-    out = None
-    for name, w in blends.items():
-        g = threshold_grid(blend(components, parts, w), truth, entities, thresholds).withColumn("blend", F.lit(name))
-        out = g if out is None else out.unionByName(g)
-    return out
+    """The threshold grid of every blend, in one pass over the pairs."""
+    settings = list(product(blends, thresholds))
+    structs = []
+    for i, (name, t) in enumerate(settings):
+        w = blends[name]
+        score = sum((F.col(c) * F.lit(x / float(sum(w))) for c, x in zip(parts, w)), F.lit(0.0))
+        structs.append(F.struct(F.lit(float(i)).alias("setting"), (score >= F.lit(float(t))).alias("in")))
+    chosen = components.select(*PAIR, F.explode(F.filter(F.array(*structs), lambda s: s["in"])).alias("s")).select(*PAIR, "s.setting")
+    grid = _macro_by(chosen, "setting", [float(i) for i in range(len(settings))], truth, entities)
+    known = components.sparkSession.createDataFrame([(float(i), n, float(t)) for i, (n, t) in enumerate(settings)], "setting double, blend string, threshold double")
+    return F.broadcast(known).join(grid, "setting").drop("setting")

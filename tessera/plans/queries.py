@@ -283,7 +283,16 @@ _q("profile_prefix", lambda c: quality.prefix_check(c.n), "SELECT source, count(
 _q("profile_text", lambda c: quality.text_profile(io.sample_records(c.spark, c.sf), "business_name"), r"SELECT source, count(*) AS rows, round(quantile_cont(length(business_name), 0.99), 6) AS length_p99, max(length(business_name))::INTEGER AS length_max, round(quantile_cont(len(list_filter(regexp_split_to_array(business_name, '\s+'), lambda x: x <> '')), 0.99), 6) AS tokens_p99, round(100.0::DOUBLE * count(*) FILTER (WHERE regexp_matches(business_name, '[^\x00-\x7F]')) / count(*), 6) AS non_ascii_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE regexp_matches(business_name, '[0-9]')) / count(*), 6) AS digit_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE business_name <> '' AND upper(business_name) = business_name AND lower(business_name) <> business_name) / count(*), 6) AS upper_pct FROM rec GROUP BY 1")
 _q("profile_lists", lambda c: quality.list_profile(submission.result_lists(c.truth, c.entities)), "SELECT count(*) AS rows, count(*) FILTER (WHERE n = 0) AS empty_rows, sum(n)::BIGINT AS matches, round(avg(n), 6) AS avg_matches, max(n) AS most FROM (SELECT count(matched_entity_id) AS n FROM ent LEFT JOIN truth USING (source1_entity_id) GROUP BY source1_entity_id)")
 _q("unicode_view", lambda c: c.n.select("entity_id", text.unicode_view("business_name").alias("name_unicode")), None)
-_q("weight_grid", lambda c: metrics.weight_grid(c.features.select(*io.PAIR, *[F.col(p).cast("double").alias(p) for p in _PARTS]), _PARTS, c.truth, c.entities, _GRID), None)
+_W = {n: w for n, w in metrics.BLENDS.items() if n in ("even", "lead", "tail")}
+_BLENDED = " UNION ALL ".join(f"SELECT {_P}, '{n}' AS blend, 0.0::DOUBLE + " + " + ".join(f"{p}::DOUBLE * ({x} / {sum(w)}::DOUBLE)" for p, x in zip(_PARTS, w)) + " AS score FROM feat" for n, w in _W.items())
+_BY = "(SELECT g.*, e.source1_entity_id, coalesce(p, 0) AS p, coalesce(t, 0) AS t, coalesce(tp, 0) AS tp FROM (SELECT * FROM {grid}) g CROSS JOIN ent e LEFT JOIN (SELECT {key}, s.source1_entity_id, count(*) AS p, count(x) AS tp FROM {chosen} s LEFT JOIN (SELECT *, 1 AS x FROM truth) USING (" + _P + ") GROUP BY ALL) USING ({key}, source1_entity_id) LEFT JOIN (SELECT source1_entity_id, count(*) AS t FROM truth GROUP BY 1) USING (source1_entity_id))"
+_MACRO = f"count(*) AS entities, sum(tp)::BIGINT AS tp, sum(p - tp)::BIGINT AS fp, sum(t - tp)::BIGINT AS fn, sum(p)::BIGINT AS predicted_pairs, sum(t)::BIGINT AS true_pairs, round(avg({_F}), 6) AS macro_f05, round(avg(CASE WHEN p = 0 THEN 0.0 ELSE tp::DOUBLE / p END), 6) AS macro_precision, round(avg(CASE WHEN t = 0 THEN 0.0 ELSE tp::DOUBLE / t END), 6) AS macro_recall"
+_STEPS = "(VALUES " + ", ".join(f"({t}::DOUBLE)" for t in _GRID) + ") v(threshold)"
+_NAMES = "(VALUES " + ", ".join(f"('{n}')" for n in _W) + ") w(blend)"
+_q("weight_grid", lambda c: metrics.weight_grid(c.features.select(*io.PAIR, *[F.col(p).cast("double").alias(p) for p in _PARTS]), _PARTS, c.truth, c.entities, _GRID, _W), f"SELECT blend, threshold, {_MACRO} FROM " + _BY.format(grid=f"{_STEPS} CROSS JOIN {_NAMES}", key="blend, threshold", chosen=f"(SELECT * FROM ({_BLENDED}) CROSS JOIN {_STEPS} WHERE score >= threshold)") + " GROUP BY blend, threshold")
+_CAL = "(SELECT * FROM (SELECT s.*, c.*, max(score) OVER (PARTITION BY t_de, t_en, delta, top_k, source1_entity_id) AS m, row_number() OVER (PARTITION BY t_de, t_en, delta, top_k, source1_entity_id ORDER BY score DESC, matched_entity_id, matched_source) AS r FROM sc s JOIN n ON entity_id = source1_entity_id CROSS JOIN {grid} c WHERE score >= CASE country_norm WHEN 'de' THEN t_de WHEN 'en' THEN t_en ELSE 0.55::DOUBLE END) WHERE score >= m - delta AND r <= top_k)"
+_CALS = "(SELECT * FROM (VALUES (0.5::DOUBLE), (0.6::DOUBLE)) a(t_de), (VALUES (0.45::DOUBLE), (0.585::DOUBLE), (0.7::DOUBLE)) b(t_en), (VALUES (0.05::DOUBLE), (0.2::DOUBLE)) c(delta), (VALUES (1::INTEGER), (8::INTEGER)) d(top_k))"
+_q("calibration_grid", lambda c: metrics.calibration_grid(c.scored, c.n, c.truth, c.entities, {"de": [0.5, 0.6], "en": [0.45, 0.585, 0.7]}, [0.05, 0.2], [1, 8], 0.55), f"SELECT t_de, t_en, delta, top_k, {_MACRO} FROM " + _BY.format(grid=_CALS, key="t_de, t_en, delta, top_k", chosen=_CAL.format(grid=_CALS)) + " GROUP BY t_de, t_en, delta, top_k")
 
 
 def _gbt(c: Context) -> DataFrame:
