@@ -4,11 +4,16 @@ Method.  A document's set holds the hashes of its distinct n-word shingles.  128
 over it; bands of them propose candidates, their low 4 bits, packed as bit planes, estimate the
 similarity with the collision correction (P - 1/16) / (15/16), and pairs that the estimate cannot
 rule out (it is more than six standard errors below the threshold otherwise) are confirmed on the
-full sets.  Texts with equal sets are one class before any pair is made.  In a band bucket every
-class is first compared with the bucket's smallest class; where that leaves a bucket in several
-components, the classes outside the bucket's largest component are compared with all classes of
-other components.  So a bucket's pairs are never all written out, and no link between two
-components is left untried.
+full sets.  Texts with equal sets are one class before any pair is made.
+
+A bucket's pairs are never written out.  First each class of a bucket is compared with the bucket's
+most central class, the one that shares most buckets.  Where that leaves a bucket in several
+components, its classes go through an exact search: in one order of all shingles, rare ones first,
+two linked sets share a shingle among the first |x| - ceil(t |x|) + 1 of both, at places that leave
+room for the asked overlap.  Only classes outside the largest component that holds a shingle are
+joined there, with classes of other components, so no link between two components is left untried
+and copies edited in many ways make few pairs.  The order needs shingle counts; they are kept in a
+table of fixed size, which changes the speed alone.
 
 Cases.  Null or empty text, or text without words: empty set, linked with nothing, kept.  A row is
 named by its id and text, so rows that repeat an id with other texts are documents of their own, and
@@ -160,6 +165,47 @@ def linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, num: int,
     return common.cut(both.where(shared * den >= (F.col("na") + F.col("nb") - shared) * num).select("a", "b"))
 
 
+ORDER_BITS = 18
+
+
+def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, node, at, n): the first shingles of every set in the common order."""
+    slot = F.shiftrightunsigned("s", 64 - ORDER_BITS).cast("int")
+    counts = sets.select(F.explode("shingles").alias("s")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("c"))
+    table = np.zeros(1 << ORDER_BITS, np.int64)
+    for part in counts.toLocalIterator():  # 2**ORDER_BITS rows at most
+        table[part["slot"]] = part["c"]
+    sent = sets.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, keys, at, sizes = [], [], [], []
+            for node, got in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h = got.values.to_numpy(zero_copy_only=False)
+                often = sent.value[(h.view(np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
+                first = h[np.lexsort((h, often))][: len(h) + (-len(h) * num // den) + 1]
+                nodes += [node] * len(first)
+                keys.append(first)
+                at.append(np.arange(len(first)))
+                sizes.append(np.full(len(first), len(h)))
+            join = lambda x: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([join(keys), pa.array(nodes, pa.binary()), join(at), join(sizes)], names=["key", "node", "at", "n"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "key long, node binary, at long, n long")
+
+
+def _across(places: DataFrame, top: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places (key, node, root, ...) outside their key's largest component, and all places of such keys."""
+    left = places.join(top, "key")
+    return left.where("root <> top"), left
+
+
+def _split_keys(places: DataFrame) -> DataFrame:
+    """(key, top): keys whose nodes lie in several components, and the component of most of them."""
+    per = places.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    return per.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", F.col("m.root").alias("top"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of docs: doc_id, key, n_shingles, node, component_id, kept, stays.
 
@@ -171,19 +217,26 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     sig = common.cut(signatures(docs, n, id_col, text_col))
     reps = common.cut(sig.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
     keys = reps.select("node", F.explode("bands").alias("key"))
-    crowded = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
-    places = common.cut(keys.join(crowded.select("key", "a"), "key"))  # only buckets of several classes
-    star = places.where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
+    places = common.cut(keys.join(crowded, "key"))  # only buckets of several classes
+    central = places.groupBy("node").agg(F.sum("crowd").alias("pop"))
+    centers = places.select("key", "node").join(central, "node").groupBy("key").agg(F.max(F.struct("pop", "node")).alias("m")).select("key", F.col("m.node").alias("a"))
+    star = places.select("key", F.col("node").alias("b")).join(centers, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star = common.cut(star)
     first = linked(docs, star, reps, n, num, den, id_col, text_col)
     roots = common.cut(common.components(first))
-    inside = places.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    inside = common.cut(inside)
-    per = inside.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = per.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", F.col("top.root").alias("top"))
-    left = inside.join(split, "key")
-    minor = left.where("root <> top").select("key", F.col("node").alias("x"), F.col("root").alias("rx"), "top")
-    rest = minor.join(left.select("key", F.col("node").alias("y"), F.col("root").alias("ry")), "key").where((F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("top")) | (F.col("x") < F.col("y"))))
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
+    rooted = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    inside = rooted(places.select("key", "node"))
+    unsure = common.cut(inside.join(_split_keys(inside), "key", "left_semi").select("node").distinct())
+    wanted = common.cut(reps.join(unsure, "node", "left_semi").select("lead.key"))
+    sets = common.cut(_sets(docs, n, wanted, wanted.count(), id_col, text_col))
+    firsts = common.cut(rooted(_prefixes(sets, num, den)))
+    minor, every = _across(firsts, _split_keys(firsts))
+    x = minor.select("key", "top", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("at").alias("i"), F.col("n").alias("nx"))
+    y = every.select("key", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("at").alias("j"), F.col("n").alias("ny"))
+    room = F.least(F.col("nx") - F.col("i"), F.col("ny") - F.col("j")) * (num + den) >= (F.col("nx") + F.col("ny")) * num
+    rest = x.join(y, "key").where((F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("top")) | (F.col("x") < F.col("y"))) & room)
+    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     second = linked(docs, rest, reps, n, num, den, id_col, text_col)
     roots = common.components(first.unionByName(second))
     classes = reps.select("node", "lead").join(roots, "node", "left").select("node", "lead", F.coalesce("root", "node").alias("root"))
