@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,19 +128,19 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
 
-    @property
+    @cached_property
     def n(self) -> DataFrame:
         return rec.normalise(io.sample_records(self.spark, self.sf))
 
-    @property
+    @cached_property
     def stripped(self) -> DataFrame:
         return rec.with_stripped(self.n)
 
-    @property
+    @cached_property
     def truth(self) -> DataFrame:
         return io.sample_truth(self.spark, self.sf)
 
-    @property
+    @cached_property
     def entities(self) -> DataFrame:
         r = io.sample_records(self.spark, self.sf)
         return r.where("source = 'S1'").select(F.col("entity_id").alias("source1_entity_id"))
@@ -147,27 +149,27 @@ class Context:
         n = self.n
         return [blocking.exact(n, "address_norm", "address"), blocking.exact(n, "address_compact", "address_compact"), blocking.exact(n, "name_norm", "name"), blocking.rare_topk(n, "name_tokens", "rare_name", drop_numbers=True), blocking.rare_topk(n, "address_tokens", "rare_address")]
 
-    @property
+    @cached_property
     def union(self) -> DataFrame:
         return candidates.union_provenance(self.parts())
 
-    @property
+    @cached_property
     def pruned(self) -> DataFrame:
         return candidates.prune_medium(self.union, self.n)
 
-    @property
+    @cached_property
     def expansion(self) -> DataFrame:
         return candidates.union_provenance([blocking.rare_strict(self.n), blocking.core_name(self.stripped)])
 
-    @property
+    @cached_property
     def features(self) -> DataFrame:
         return features.pair_features(self.pruned, self.stripped)
 
-    @property
+    @cached_property
     def labelled(self) -> DataFrame:
         return labels.label_pairs(self.features, self.truth)
 
-    @property
+    @cached_property
     def scored(self) -> DataFrame:
         lab = self.labelled
         return lab.select(*io.PAIR, F.round(features.proxy(lab.columns), 6).alias("score"), "label")
