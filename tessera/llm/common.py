@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Largest table that is sent whole to every executor, in rows of at most about 100 bytes.
-SMALL_ROWS = 20_000
+SMALL_ROWS = 200_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -41,7 +41,7 @@ def contained(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int = 80
     items = items.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).distinct()
     index = common.cut(sketches(items, n, share_pct))
     rows = index.agg(F.sum(F.size("shingles")), F.count(F.lit(1))).first()
-    small = (rows[0] or 0) <= common.SMALL_ROWS * 10  # longs: 16 bytes a shingle
+    small = (rows[0] or 0) <= common.SMALL_ROWS  # longs: 16 bytes a shingle
     near = lambda df: F.broadcast(df) if small else df
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("key"), common.shingle_hashes(common.words(F.col(text_col)), n).alias("set"))
     posting = near(index.select("item", F.explode("minima").alias("h")))
