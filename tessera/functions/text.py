@@ -57,7 +57,7 @@ def _strip_udf(s: pd.Series) -> pd.Series:
 
 
 def strip_accents(c: Column) -> Column:
-    """Without combining marks.  ASCII text never leaves the JVM's fast path as a new value."""
+    """Without combining marks."""
     return _strip_udf(c)
 
 
@@ -103,7 +103,7 @@ def _latin_udf(s: pd.Series) -> pd.Series:
 
 
 def ascii_view(c: Column) -> Column:
-    """Lower-case Latin reading; text that is ASCII already is only lower-cased, without Python."""
+    """Lower-case Latin reading; text that is ASCII already is only lower-cased."""
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.lower(F.coalesce(_latin_udf(c), F.lit("")))).otherwise(F.lower(c))
 
 
