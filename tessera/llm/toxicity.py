@@ -47,10 +47,10 @@ def _words(text: str | None) -> set[str]:
 
 
 class Machine:
-    """place (of every hash, -1 if not kept), bias, weights, vectors."""
+    """terms (kept hashes), bias, weights, vectors."""
 
-    def __init__(self, place: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
-        self.place, self.bias, self.w, self.v = place, bias, w, v
+    def __init__(self, terms: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
+        self.place, self.bias, self.w, self.v = {int(t): i for i, t in enumerate(terms)}, bias, w, v
         self.known: dict[str, tuple[int, ...]] = {}
 
     def kept(self, word: str) -> tuple[int, ...]:
@@ -58,7 +58,7 @@ class Machine:
         if found is None:
             if len(self.known) > 400_000:
                 self.known.clear()
-            found = self.known[word] = tuple(p for p in (int(self.place[t]) for t in _terms(word)) if p >= 0)
+            found = self.known[word] = tuple(self.place[t] for t in _terms(word) if t in self.place)
         return found
 
     def score(self, text: str | None) -> float:
@@ -74,20 +74,20 @@ class Machine:
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> tuple | None:
-    """(place, bias, w, v) from the distinct terms of each row."""
+    """(terms, bias, w, v) from the distinct terms of each row; rows are read in place, a few at a time."""
     if not len(rows) or labels.min() == labels.max():
         return None
-    all_terms = np.concatenate(rows)
-    sizes = np.array([len(r) for r in rows])
-    seen = np.bincount(all_terms, minlength=1 << BITS)
-    toxic = np.bincount(all_terms[np.repeat(labels == 1, sizes)], minlength=1 << BITS)
+    seen, toxic = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+    for r, y in zip(rows, labels):
+        seen[r] += 1  # a row's terms are distinct
+        toxic[r] += int(y == 1)
     p = labels.mean()
-    z = (toxic - seen * p) / np.sqrt(np.maximum(seen * p * (1 - p), 1e-9))
-    keep = np.flatnonzero((seen >= LEAST) & (np.abs(z) >= Z))
+    some = np.flatnonzero(seen >= LEAST)
+    z = (toxic[some] - seen[some] * p) / np.sqrt(seen[some] * p * (1 - p))
+    keep = some[np.abs(z) >= Z]
     place = np.full(1 << BITS, -1, np.int32)
     place[keep] = np.arange(len(keep))
-    kept = [place[r] for r in rows]
-    kept = [k[k >= 0] for k in kept]
+    kept = [k[k >= 0] for k in (place[r] for r in rows)]
     rng = np.random.RandomState(seed)
     w, v, b = np.zeros(len(keep)), rng.normal(0, 0.02, (len(keep), FACTORS)), float(np.log(p / (1 - p)))
     gw, gv, gb = np.full(len(w), 1e-6), np.full(v.shape, 1e-6), 1e-6
@@ -115,7 +115,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
             w[uniq] -= 0.3 * dw / np.sqrt(gw[uniq])
             v[uniq] -= 0.05 * dv / np.sqrt(gv[uniq])
             b -= 0.1 * g.mean() / np.sqrt(gb)
-    return place, b, w, v
+    return keep, b, w, v
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | None:
@@ -147,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | Non
     found = sorted((bytes(r[0]), r[1]) for r in found.toLocalIterator())  # at most `sample` rows
     if not found:
         return None
-    return train([np.frombuffer(t, "<u4").astype(np.int64) for t, _ in found], np.array([y for _, y in found]))
+    return train([np.frombuffer(t, "<u4") for t, _ in found], np.array([y for _, y in found]))
 
 
 def scored(docs: DataFrame, machine: tuple | None, text_col: str = "text") -> DataFrame:
