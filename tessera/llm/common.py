@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Largest table that is sent whole to every executor, in rows of at most about 100 bytes.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 20_000
+#: Bits of a sieve of keys: 2**19 words of 64 bits at most, about 16 MB, whatever the input.
+SIEVE_BITS = 25
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +69,41 @@ def hinted(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
+def _sifted(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """rows with _may: false only where keys has no such key.
+
+    The keys set bits of a table of fixed size, which is sent to all; it spares most other rows the
+    shuffle of an exact join, and as it fills up it changes the speed alone.
+    """
+    at = F.shiftrightunsigned(F.xxhash64(F.lit(20240607), *by), 64 - SIEVE_BITS)
+    word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
+    words = keys.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    hit = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    return rows.join(F.broadcast(words), word == F.col("_word"), "left").withColumn("_may", F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
+
+
+def semi(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """The rows whose key keys (written, by alone) has; nulls equal nulls."""
+    return _sifted(rows, keys, by).where("_may").drop("_may").join(*_same(keys, by), "left_semi")
+
+
+def anti(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """The rows whose key keys (written, by alone) has not; nulls equal nulls."""
+    some = _sifted(rows, keys, by)
+    return some.where("not _may").drop("_may").unionByName(some.where("_may").drop("_may").join(*_same(keys, by), "left_anti"))
+
+
+def _same(keys: DataFrame, by: list[str]) -> tuple[DataFrame, list[Column]]:
+    return keys.select(*[F.col(c).alias(f"_k_{c}") for c in by]), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+
+
+def looked_up(rows: DataFrame, found: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with the value that found (key and value, written) has for their key, else null."""
+    some = _sifted(rows, found, [key])
+    none = F.lit(None).cast(found.schema[value].dataType)
+    return some.where("not _may").drop("_may").withColumn(value, none).unionByName(some.where("_may").drop("_may").join(found.select(key, value), key, "left"))
+
+
 def ranked(df: DataFrame, order: list[Column], name: str, kept: bool = True) -> tuple[DataFrame, int]:
     """df with a gapless long rank from 0 in the given order, and the number of rows.
 

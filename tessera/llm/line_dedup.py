@@ -63,9 +63,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the repeated runs cut from text, and the numbers of lines cut in removed."""
     gone = common.cut(repeated_lines(docs, min_words))
-    gone = common.hinted(gone, gone.count())
     names = [c for c in docs.columns if c != "removed"]
-    rows = docs.select(F.struct(*names).alias("row"), common.doc_key("doc_id", "text").alias("key")).join(gone.select("key", "removed"), "key", "left")
+    rows = common.looked_up(docs.select(F.struct(*names).alias("row"), common.doc_key("doc_id", "text").alias("key")), gone, "key", "removed")
     kept = F.array_join(F.filter(F.split("row.text", "\n", -1), lambda l, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept)
     return rows.select(*[text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names], F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
