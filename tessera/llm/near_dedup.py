@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), common.doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, _SIG)
 
 
-def _sets(docs: DataFrame, n: int, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame, n: int, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles) of the documents in wanted (key), each node once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def _sets(docs: DataFrame, n: int, wanted: DataFrame, rows: int, id_col: str, te
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in part], pa.binary()), _lists([h.view(np.int64) for h in part], pa.int64())], names=["node", "shingles"])
 
     texts = docs.select(common.doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    texts = texts.join(common.hinted(wanted, rows), "key", "left_semi").select("text")
+    texts = common.semi(texts, wanted, ["key"]).select("text")
     return texts.mapInArrow(run, "node binary, shingles array<bigint>").where("node is not null").dropDuplicates(["node"])
 
 
@@ -156,10 +156,9 @@ def linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, num: int,
     pairs = common.cut(pairs)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = common.cut(reps.join(nodes, "node", "left_semi").select("lead.key"))
-    count = wanted.count()
-    if not count:
+    if wanted.isEmpty():
         return pairs.select("a", "b")
-    sets = _sets(docs, n, wanted, count, id_col, text_col)
+    sets = _sets(docs, n, wanted, id_col, text_col)
     both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     return common.cut(both.where(shared * den >= (F.col("na") + F.col("nb") - shared) * num).select("a", "b"))
@@ -229,7 +228,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     inside = rooted(places.select("key", "node"))
     unsure = common.cut(inside.join(_split_keys(inside), "key", "left_semi").select("node").distinct())
     wanted = common.cut(reps.join(unsure, "node", "left_semi").select("lead.key"))
-    sets = common.cut(_sets(docs, n, wanted, wanted.count(), id_col, text_col))
+    sets = common.cut(_sets(docs, n, wanted, id_col, text_col))
     firsts = common.cut(rooted(_prefixes(sets, num, den)))
     minor, every = _across(firsts, _split_keys(firsts))
     x = minor.select("key", "top", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("at").alias("i"), F.col("n").alias("nx"))
@@ -254,11 +253,10 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     found = common.cut(near_duplicates(docs, n, num, den).where("node is not null").groupBy("key").agg(F.bool_and("stays").alias("stays"), F.count(F.lit(1)).alias("rows")))
     gone, twice = found.where("not stays or rows > 1").select("key"), found.where("stays and rows > 1").select("key")
     rows = docs.select(F.struct(*docs.columns).alias("row"), common.doc_key("doc_id", "text").alias("key"))
-    once = rows.join(common.hinted(gone, gone.count()), "key", "left_anti").select("row.*")
-    again = twice.count()
-    if not again:
+    once = common.anti(rows, gone, ["key"]).select("row.*")
+    if twice.isEmpty():
         return once
-    return once.unionByName(rows.join(common.hinted(twice, again), "key", "left_semi").dropDuplicates(["key"]).select("row.*"))
+    return once.unionByName(common.semi(rows, twice, ["key"]).dropDuplicates(["key"]).select("row.*"))
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
