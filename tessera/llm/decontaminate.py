@@ -47,15 +47,11 @@ def contained(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int = 80
     posting = near(index.select("item", F.explode("minima").alias("h")))
     pairs = texts.select("doc", "key", F.explode("set").alias("h")).join(posting, "h").select("doc", "key", "item").distinct()
     pairs = common.cut(pairs)
-    found = pairs.count()
     wanted = pairs.select(F.col("doc").alias("d"), F.col("key").alias("k"), "item")
-    some = wanted.select("d", "k").distinct()
-    if found <= common.SMALL_ROWS:
-        some = F.broadcast(some)
     again = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    again = again.join(some, F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi")
+    again = common.semi(again, pairs.select("doc", "key").distinct(), ["doc", "key"])
     again = again.select("doc", "key", common.shingle_hashes(common.words(F.col("text")), n).alias("set"))
-    again = again.join(common.hinted(wanted, found), F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
+    again = again.join(wanted, F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
     full = index.select("item", "size", "shingles")
     full = F.broadcast(full) if small else full
     shared = F.size(F.array_intersect("set", "shingles")).cast("long")
@@ -71,7 +67,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int
     keyed = docs.select(common.doc_key("doc_id", "text").alias("key"), "text")
     hit = common.cut(contained(keyed, items, n, share_pct, id_col="key").select(F.col("doc_id").alias("key")).distinct())
     rows = docs.select(F.struct(*docs.columns).alias("row"), common.doc_key("doc_id", "text").alias("key"))
-    return rows.join(common.hinted(hit, hit.count()), "key", "left_anti").select("row.*")
+    return common.anti(rows, hit, ["key"]).select("row.*")
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
