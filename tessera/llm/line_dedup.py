@@ -6,7 +6,8 @@ ones) with its position, so any two texts that share a run of a window's length
 Fingerprints at two positions or more make their windows candidates; each candidate is joined to the
 first place, by id and line, that holds the same lines.  A match grows to the left by the windows
 that start there, which a longer match repeats too, and to the right line by line as long as the
-lines after both places agree, for at most min_words words.  All matched runs but those at first
+lines after both places agree, over the lines that start less than min_words words after the
+window's end, however long its lines are; past these another window of the run begins.  All matched runs but those at first
 places are deleted.  Every join meets a window with one first place only, so frequent lines make no
 pairs.
 
@@ -41,12 +42,17 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     by_line = Window.partitionBy("key").orderBy("i")
     rows = rows.withColumn("before", F.sum("w").over(by_line) - F.col("w"))
     inside = Window.partitionBy("key").orderBy("before").rangeBetween(0, min_words - 1)
-    beyond = Window.partitionBy("key").orderBy("before").rangeBetween(0, 2 * min_words - 1)
     least = F.min(F.struct(F.xxhash64(F.lit(20240607), "h").alias("o"), (-F.col("i")).alias("p"))).over(inside)
-    wide = rows.select("doc_id", "key", "i", "line", F.collect_list("h").over(inside).alias("hs"), F.sum("w").over(inside).alias("words"), least.alias("f"), F.collect_list(F.struct("h", "line")).over(beyond).alias("more"))
-    wide = wide.where(F.col("words") >= min_words)
-    n = F.size("hs")
-    wide = wide.select("doc_id", "key", "i", F.xxhash64("hs").alias("gram"), F.col("f.o").alias("mark"), F.struct(F.col("key"), F.col("f.p")).alias("spot"), F.transform(F.slice("more", F.lit(1), n), lambda m: m["line"]).alias("at"), F.slice("more", n + 1, F.greatest(F.size("more") - n, F.lit(0))).alias("tail"))
+    wide = rows.select("doc_id", "key", F.struct("i", "line", "h", F.count(F.lit(1)).over(inside).cast("int").alias("n"), F.sum("w").over(inside).alias("words"), least.alias("f")).alias("l"))
+    wide = wide.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("l")).alias("all"))
+
+    def window(x: Column) -> Column:
+        after = F.slice("all", x["i"] + x["n"] + 1, F.coalesce(F.get("all", x["i"] + x["n"])["n"], F.lit(0)))  # its lines start within min_words words of the window's end
+        inner = F.slice("all", x["i"] + 1, x["n"])
+        return F.struct(x["i"].alias("i"), x["f"].alias("f"), F.xxhash64(F.transform(inner, lambda m: m["h"])).alias("gram"), F.transform(inner, lambda m: m["line"]).alias("at"), F.transform(after, lambda m: F.struct(m["h"].alias("h"), m["line"].alias("line"))).alias("tail"))
+
+    wide = wide.select("doc_id", "key", F.explode(F.transform(F.filter("all", lambda x: x["words"] >= min_words), window)).alias("x"))
+    wide = wide.select("doc_id", "key", "x.i", "x.gram", F.col("x.f.o").alias("mark"), F.struct(F.col("key"), F.col("x.f.p")).alias("spot"), "x.at", "x.tail")
     wide = common.cut(wide)
     shared = wide.groupBy("mark").agg(F.min("spot").alias("a"), F.max("spot").alias("z")).where("a <> z").select("mark")
     some = wide.join(shared, "mark", "left_semi")

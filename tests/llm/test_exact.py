@@ -148,6 +148,16 @@ def test_line_dedup_matches_brute_force(spark):
     assert got[78].text is None
 
 
+def test_line_dedup_after_long_lines(spark):
+    """Short lines that end a repeated run are cut also after lines of more than two windows' words."""
+    r = random.Random(11)
+    line = lambda n: " ".join(f"v{r.randrange(9999)}" for _ in range(n))
+    run = [line(130), line(4), line(200), line(9), line(1), line(20), line(7)]
+    rows = [(1, "\n".join([line(3), *run, line(2)])), (2, "\n".join([line(5), *run, line(6)])), (3, "\n".join(run[2:]))]
+    got = {x.doc_id: list(x.removed) for x in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: list(range(1, 8)), 3: list(range(5))}
+
+
 def test_line_dedup_odd_rows(odd, empty):
     out = line_dedup.without_repeats(odd)
     assert out.count() == odd.count() and set(out.columns) == set(odd.columns)
