@@ -3,13 +3,13 @@
 Method.  Lines with words are hashed.  From each line starts a window: the fewest consecutive lines
 of min_words words together.  A window's fingerprint is its least line hash (the rightmost of equal
 ones) with its position, so any two texts that share a run of a window's length share a fingerprint.
-Fingerprints at two positions or more make their windows candidates; each candidate is joined to the
-first place, by id and line, that holds the same lines.  A match grows to the left by the windows
-that start there, which a longer match repeats too, and to the right line by line as long as the
-lines after both places agree, over the lines that start less than min_words words after the
-window's end, however long its lines are; past these another window of the run begins.  All matched runs but those at first
-places are deleted.  Every join meets a window with one first place only, so frequent lines make no
-pairs.
+Fingerprints at two positions or more make their windows candidates.  A window also stands for each
+longer run that it starts and that ends before the next line's window does (at the end of the text
+if that has too few words): the last window inside a repeated run thus reaches the run's end, whatever
+its lines' lengths, and a text has no more runs than lines and windows together.  Each run is joined
+to the first place, by id and line, that holds the same lines, whichever text that is, so a run is
+found where the first place of its window goes on otherwise.  All runs but those at first places are
+deleted.  Every join meets a run with one first place only, so frequent lines make no pairs.
 
 Cases.  Null text counts as empty.  Lines without words match nothing and are kept.  Texts of fewer
 than min_words words in a repeated run are kept.  Rows that repeat id and text are one document and
@@ -46,23 +46,25 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     wide = rows.select("doc_id", "key", F.struct("i", "line", "h", F.count(F.lit(1)).over(inside).cast("int").alias("n"), F.sum("w").over(inside).alias("words"), least.alias("f")).alias("l"))
     wide = wide.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("l")).alias("all"))
 
-    def window(x: Column) -> Column:
-        after = F.slice("all", x["i"] + x["n"] + 1, F.coalesce(F.get("all", x["i"] + x["n"])["n"], F.lit(0)))  # its lines start within min_words words of the window's end
-        inner = F.slice("all", x["i"] + 1, x["n"])
-        return F.struct(x["i"].alias("i"), x["f"].alias("f"), F.xxhash64(F.transform(inner, lambda m: m["h"])).alias("gram"), F.transform(inner, lambda m: m["line"]).alias("at"), F.transform(after, lambda m: F.struct(m["h"].alias("h"), m["line"].alias("line"))).alias("tail"))
+    def runs(x: Column) -> Column:
+        end, after = x["i"] + x["n"], F.get("all", x["i"] + 1)
+        last = F.when(after.isNull(), end).when(after["words"] >= min_words, F.greatest(after["i"] + after["n"] - 1, end)).otherwise(F.size("all"))
 
-    wide = wide.select("doc_id", "key", F.explode(F.transform(F.filter("all", lambda x: x["words"] >= min_words), window)).alias("x"))
-    wide = wide.select("doc_id", "key", "x.i", "x.gram", F.col("x.f.o").alias("mark"), F.struct(F.col("key"), F.col("x.f.p")).alias("spot"), "x.at", "x.tail")
+        def run(to: Column) -> Column:
+            gone = F.when(to == end, F.transform(F.slice("all", x["i"] + 1, x["n"]), lambda m: m["line"])).otherwise(F.array(F.get("all", to - 1)["line"]))
+            return F.struct(x["i"].alias("i"), x["f"].alias("f"), F.xxhash64(F.transform(F.slice("all", x["i"] + 1, to - x["i"]), lambda m: m["h"])).alias("gram"), gone.alias("at"))
+
+        return F.transform(F.sequence(end, last), run)
+
+    wide = wide.select("doc_id", "key", F.explode(F.flatten(F.transform(F.filter("all", lambda x: x["words"] >= min_words), runs))).alias("x"))
+    wide = wide.select("doc_id", "key", "x.i", "x.gram", F.col("x.f.o").alias("mark"), F.struct(F.col("key"), F.col("x.f.p")).alias("spot"), "x.at")
     wide = common.cut(wide)
     shared = wide.groupBy("mark").agg(F.min("spot").alias("a"), F.max("spot").alias("z")).where("a <> z").select("mark")
     some = wide.join(shared, "mark", "left_semi")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("i").alias("i"))
-    firsts = some.groupBy("gram").agg(F.min(F.struct(order.alias("o"), F.transform("tail", lambda m: m["h"]).alias("t"))).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    hits = some.join(firsts.select("gram", F.col("first.o").alias("o"), F.col("first.t").alias("t0")), "gram").where((F.col("key") != F.col("o.k")) | (F.col("i") != F.col("o.i")))
-    agree = F.zip_with(F.transform("tail", lambda m: m["h"]), "t0", lambda x, y: F.coalesce(x == y, F.lit(False)))
-    upto = F.array_position(agree, F.lit(False))
-    length = F.when(upto == 0, F.size("tail")).otherwise(upto - 1).cast("int")
-    gone = hits.select("key", F.explode(F.concat("at", F.transform(F.slice("tail", F.lit(1), length), lambda m: m["line"]))).alias("line")).distinct()
+    firsts = some.groupBy("gram").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("times")).where("times > 1").select("gram", "o")
+    hits = some.join(firsts, "gram").where((F.col("key") != F.col("o.k")) | (F.col("i") != F.col("o.i")))
+    gone = hits.select("key", F.explode("at").alias("line")).distinct()
     return gone.groupBy("key").agg(F.sort_array(F.collect_list("line")).alias("removed"))
 
 

@@ -158,6 +158,36 @@ def test_line_dedup_after_long_lines(spark):
     assert got == {1: [], 2: list(range(1, 8)), 3: list(range(5))}
 
 
+def all_repeated(rows, least):
+    """Numbers of the lines in any run of `least` words or more that stands at an earlier place, by id; every pair of places is compared."""
+    texts = [(d, [(i, s.strip(), len(s.split())) for i, s in enumerate(t.split("\n")) if s.split()]) for d, t in sorted(rows)]
+    places = [(k, a) for k, (_, x) in enumerate(texts) for a in range(len(x))]
+    gone = defaultdict(set)
+    for n, (k, a) in enumerate(places):
+        for j, b in places[:n]:
+            x, y, m = texts[k][1], texts[j][1], 0
+            while a + m < len(x) and b + m < len(y) and x[a + m][1] == y[b + m][1]:
+                m += 1
+            if sum(w for _, _, w in x[a : a + m]) >= least:
+                gone[texts[k][0]].update(i for i, _, _ in x[a : a + m])
+    return gone
+
+
+def test_line_dedup_finds_runs_of_any_earlier_text(spark):
+    """A run goes on as far as any earlier text has it, not only the first one that holds its window."""
+    r = random.Random(12)
+    line = lambda n: " ".join(f"u{r.randrange(9999)}" for _ in range(n))
+    head, tail = [line(82)], [line(6), line(8)]
+    rows = [(1, "\n".join([*head, line(5)])), (2, "\n".join([*head, *tail])), (3, "\n".join([line(4), *head, *tail, line(3)]))]
+    got = {x.doc_id: list(x.removed) for x in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0], 3: [1, 2, 3]}
+    pool = [line(r.choice([1, 2, 3, 5, 8, 15, 25, 45])) for _ in range(14)]
+    rows = [(d, "\n".join(r.choice(pool) for _ in range(r.randrange(1, 25)))) for d in range(40)]
+    got = {x.doc_id: set(x.removed) for x in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()}
+    want = all_repeated(rows, 20)
+    assert got == {d: want.get(d, set()) for d, _ in rows}
+
+
 def test_line_dedup_odd_rows(odd, empty):
     out = line_dedup.without_repeats(odd)
     assert out.count() == odd.count() and set(out.columns) == set(odd.columns)
