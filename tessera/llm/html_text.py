@@ -4,10 +4,10 @@ Method.  Markup is stripped and the page becomes lines, one for each block eleme
 Boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments), told by tag, role, class or id, give lines of no weight, and so do lines that are mostly
 links; the border of a container gives an empty line.  The weights are summed over a window of WIDTH
-lines; a region surges where the sum leaves zero and dives where it returns to it.  In a page that
-marks its article (article, main) only lines in it weigh; otherwise the regions of at least a fifth
-of the largest region's weight are the article.  All lines between surge and dive are kept but those
-of boilerplate elements.
+lines; a region surges where the sum leaves zero and dives where it returns to it.  Regions of LEAST
+and the heaviest one are kept.  A line weighs PLAIN for each character.  Only if article or main
+elements hold half of the page's text, or more, their lines weigh LEAST a character, links or not,
+and other lines one: any region with tagged text is then kept, others if they have LEAST characters.
 
 Cases.  Null or empty html, and pages without text, give the empty text.  Elements left open are
 closed by the next closing container; a page cut off in a tag or comment ends there.  Character
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WIDTH = 3
+#: Least weight of a region, and the weight of a character where tags tell nothing: 20 characters or more make a region.
+LEAST, PLAIN = 200, 10
 #: Element names.
 RAW = ("script", "style", "noscript", "template", "svg", "textarea", "iframe", "object", "head", "select", "canvas", "math")
 AWAY = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "header", "label", "fieldset"}
@@ -136,13 +138,17 @@ def lines(page: str) -> list:
 
 def main_text(page: str | None) -> str:
     found = lines(page or "")
-    has_article = any(x is not _BORDER and x[3] and not x[2] for x in found)
+    solid = [x for x in found if x is not _BORDER and not x[2]]
+    tagged, whole = sum(len(x[0]) for x in solid if x[3]), sum(len(x[0]) for x in solid if x[3] or 2 * x[1] <= len(x[0]))
+    marked = tagged > 0 and 2 * tagged >= whole
     weights = []
     for x in found:
-        if x is _BORDER or x[2] or has_article and not x[3]:
+        if x is _BORDER or x[2]:
             weights.append(0)
+        elif marked and x[3]:
+            weights.append(LEAST * len(x[0]))
         else:
-            weights.append(0 if 2 * x[1] > len(x[0]) and not has_article else len(x[0]))
+            weights.append(0 if 2 * x[1] > len(x[0]) else len(x[0]) * (1 if marked else PLAIN))
     sums = [sum(weights[i : i + WIDTH]) for i in range(len(weights))]
     regions, surge = [], None
     for i, s in enumerate([*sums, 0]):
@@ -151,7 +157,7 @@ def main_text(page: str | None) -> str:
         elif not s and surge is not None:
             regions.append((surge, i, sum(weights[surge:i])))
             surge = None
-    least = max((w for _, _, w in regions), default=0) / 5 if not has_article else 0
+    least = min(LEAST, max((w for _, _, w in regions), default=0))
     kept = []
     for a, z, w in regions:
         if w >= least:

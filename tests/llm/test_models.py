@@ -126,3 +126,16 @@ def test_html_article_among_boilerplate(spark):
     out = html_text.extracted(rows)
     assert out.columns == ["page_id", "url", "text"] and sorted(x.text for x in out.collect()) == ["", "", "a"]
     assert html_text.extracted(rows.limit(0)).count() == 0
+
+
+def test_html_tags_are_a_weight_alone():
+    """A teaser in an article element does not take the place of the body, nor does a tagged body that of a long section beside it."""
+    body = [f"paragraph {i} " + "word " * 30 for i in range(4)]
+    want = "\n".join(x.strip() for x in body)
+    divs = "".join(f"<div><p>{x}</p></div>" for x in body)
+    for teaser in ("<article class=card><h3>Teaser</h3></article>", "<article class='post'><p>Read this next</p></article>"):
+        got = html_text.main_text(f"<body><div id=content>{divs}</div>{teaser}</body>")
+        assert got.startswith(want)
+    gap = "<nav><a>n</a></nav>"
+    got = html_text.main_text(f"<body><main>{divs}</main>{gap}<div><p>{'other ' * 50}</p></div>{gap}<div><p>(c) a firm, all rights reserved</p></div></body>")
+    assert got == want + "\n" + ("other " * 50).strip()
