@@ -3,11 +3,14 @@
 Method.  Markup is stripped and the page becomes lines, one for each block element, in page order.
 Boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments), told by tag, role, class or id, give lines of no weight, and so do lines that are mostly
-links; the border of a container gives an empty line.  The weights are summed over a window of WIDTH
+links.  The border of a container gives an empty line, but borders between two lines outside
+boilerplate give none.  The weights are summed over a window of WIDTH
 lines; a region surges where the sum leaves zero and dives where it returns to it.  Regions of LEAST
 and the heaviest one are kept.  A line weighs PLAIN for each character.  Only if article or main
 elements hold half of the page's text, or more, their lines weigh LEAST a character, links or not,
 and other lines one: any region with tagged text is then kept, others if they have LEAST characters.
+All lines of a kept region, from its first line of weight to its last, are kept whatever their links,
+but those of boilerplate elements.  WIDTH lines in a row that are mostly links end a region, as menus do.
 
 Cases.  Null or empty html, and pages without text, give the empty text.  Elements left open are
 closed by the next closing container; a page cut off in a tag or comment ends there.  Character
@@ -138,6 +141,16 @@ def lines(page: str) -> list:
 
 def main_text(page: str | None) -> str:
     found = lines(page or "")
+    inside, borders = [], []
+    for x in found:  # borders between two lines outside boilerplate part nothing
+        if x is _BORDER:
+            borders.append(x)
+            continue
+        if x[2] or not inside or inside[-1][2]:
+            inside += borders
+        borders = []
+        inside.append(x)
+    found = inside
     solid = [x for x in found if x is not _BORDER and not x[2]]
     tagged, whole = sum(len(x[0]) for x in solid if x[3]), sum(len(x[0]) for x in solid if x[3] or 2 * x[1] <= len(x[0]))
     marked = tagged > 0 and 2 * tagged >= whole
@@ -161,7 +174,8 @@ def main_text(page: str | None) -> str:
     kept = []
     for a, z, w in regions:
         if w >= least:
-            kept += [found[i][0] for i in range(a, min(z + WIDTH, len(found))) if i < z and weights[i]]
+            heavy = [i for i in range(a, z) if weights[i]]
+            kept += [found[i][0] for i in range(heavy[0], heavy[-1] + 1) if found[i] is not _BORDER and not found[i][2]]
     return "\n".join(kept)
 
 

@@ -139,3 +139,14 @@ def test_html_tags_are_a_weight_alone():
     gap = "<nav><a>n</a></nav>"
     got = html_text.main_text(f"<body><main>{divs}</main>{gap}<div><p>{'other ' * 50}</p></div>{gap}<div><p>(c) a firm, all rights reserved</p></div></body>")
     assert got == want + "\n" + ("other " * 50).strip()
+
+
+def test_html_keeps_linked_lines_and_wrapped_parts():
+    """Container borders do not part an article, its linked lines stay, and a short part does not go for a long one."""
+    long = ("word " * 400).strip()
+    link = '<a href="x">a source that is all link</a>'
+    page = f"""<body><nav><a>Home</a></nav><div class=wrap><div><div><p>A short lead of its own.</p></div></div><div><div><p>{long}</p><ul><li>{link}</li></ul><p>{link}</p>
+    <p>{long}</p></div></div><div><table><tr><td>1</td></tr></table></div><div><div><div><p>The short end.</p></div></div></div></div><div id=footer>(c)</div></body>"""
+    assert html_text.main_text(page).split("\n") == ["A short lead of its own.", long, "a source that is all link", "a source that is all link", long, "1", "The short end."]
+    menu = "".join(f"<li><a>menu item {i}</a></li>" for i in range(5))
+    assert html_text.main_text(f"<body><div><ul>{menu}</ul></div><div><p>{long}</p></div><div><ul>{menu}</ul></div></body>") == long
