@@ -3,8 +3,10 @@
 Method.  A text's terms are its distinct lower-cased words without outer punctuation, and their
 first four and five characters, each hashed to BITS bits.  score = sigmoid(b + sum of w over the
 text's terms + sum of <v_i, v_j> over pairs of its terms): the vectors learn pairs, such as an
-insult beside a group's name, that weights alone cannot.  Fitting keeps the terms whose count in
-toxic rows differs from chance by Z standard deviations, and trains them by AdaGrad.
+insult beside a group's name, that weights alone cannot.  All terms of LEAST rows or more are trained
+by AdaGrad, the weights first and then the vectors too.  After each step a term's weight, and the
+length of its vector, shrink by a multiple of the noise that chance leaves in its gradient, so a word
+that tells nothing alone gets no weight and still has a vector for what it tells in pairs.
 
 The machine is fitted on at most about `sample` labelled rows (SAMPLE), chosen by a hash of the id,
 of which rows with equal terms count once; every text is scored whole.
@@ -30,7 +32,9 @@ from . import common
 
 SAMPLE = 16_000
 BITS = 22
-FACTORS, EPOCHS, Z, LEAST = 8, 30, 5.0, 5
+FACTORS, EPOCHS, LEAST = 8, 30, 5
+#: Training: rows a step, size of the first vectors, rates and penalties of weights and vectors, epochs of weights alone.
+BATCH, START, RATE_W, RATE_V, L1_W, L1_V, FIRST = 128, 0.05, 0.3, 0.1, 1.0, 1.0, 5
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -74,48 +78,52 @@ class Machine:
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> tuple | None:
-    """(terms, bias, w, v) from the distinct terms of each row; rows are read in place, a few at a time."""
+    """(terms, bias, w, v) from the distinct terms of each row; the rows are replaced by their places in terms."""
     if not len(rows) or labels.min() == labels.max():
         return None
-    seen, toxic = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
-    for r, y in zip(rows, labels):
+    seen = np.zeros(1 << BITS, np.int32)
+    for r in rows:
         seen[r] += 1  # a row's terms are distinct
-        toxic[r] += int(y == 1)
-    p = labels.mean()
-    some = np.flatnonzero(seen >= LEAST)
-    z = (toxic[some] - seen[some] * p) / np.sqrt(seen[some] * p * (1 - p))
-    keep = some[np.abs(z) >= Z]
+    keep = np.flatnonzero(seen >= LEAST)
     place = np.full(1 << BITS, -1, np.int32)
     place[keep] = np.arange(len(keep))
-    kept = [k[k >= 0] for k in (place[r] for r in rows)]
+    noise = np.sqrt(labels.mean() * (1 - labels.mean()) / seen[keep])  # of a term's mean gradient, a row
+    for i, r in enumerate(rows):
+        k = place[r]
+        rows[i] = k[k >= 0]
+    p = labels.mean()
     rng = np.random.RandomState(seed)
-    w, v, b = np.zeros(len(keep)), rng.normal(0, 0.02, (len(keep), FACTORS)), float(np.log(p / (1 - p)))
-    gw, gv, gb = np.full(len(w), 1e-6), np.full(v.shape, 1e-6), 1e-6
-    order = np.arange(len(kept))
+    w, v, b = np.zeros(len(keep)), rng.normal(0, START, (len(keep), FACTORS)), float(np.log(p / (1 - p)))
+    gw, gv, gb = np.ones(len(w)), np.ones(v.shape), 1.0
+    order = np.arange(len(rows))
     for epoch in range(EPOCHS):
         rng.shuffle(order)
-        for s in range(0, len(order), 128):
-            some = order[s : s + 128]
-            parts = [kept[i] for i in some]
-            n = np.array([len(x) for x in parts])
-            at = np.concatenate(parts)
-            doc = np.repeat(np.arange(len(some)), n)
-            sums = np.zeros((len(some), FACTORS))
-            np.add.at(sums, doc, v[at])
-            x = b + np.bincount(doc, w[at], len(some)) + 0.5 * ((sums**2).sum(axis=1) - np.bincount(doc, (v[at] ** 2).sum(axis=1), len(some)))
+        for s in range(0, len(order), BATCH):
+            some = order[s : s + BATCH]
+            parts = [rows[i] for i in some]
+            doc = np.repeat(np.arange(len(some)), [len(x) for x in parts])
+            uniq, inv = np.unique(np.concatenate(parts), return_inverse=True)
+            vu, n = v[uniq], len(some)
+            sums = np.stack([np.bincount(doc, vu[:, f][inv], n) for f in range(FACTORS)], 1)
+            x = b + np.bincount(doc, (w[uniq] - 0.5 * (vu**2).sum(axis=1))[inv], n) + 0.5 * (sums**2).sum(axis=1)
             g = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - labels[some]
-            uniq, inv = np.unique(at, return_inverse=True)
-            dw = np.bincount(inv, g[doc], len(uniq)) / len(some) + 1e-4 * w[uniq]
-            dv = np.zeros((len(uniq), FACTORS))
-            np.add.at(dv, inv, g[doc][:, None] * (sums[doc] - v[at]))
-            dv = dv / len(some) + 1e-3 * v[uniq]
-            gw[uniq] += dw**2
+            total, m = np.bincount(inv, g[doc], len(uniq)), np.bincount(inv, minlength=len(uniq))
+            dv = np.stack([np.bincount(inv, (g * sums[:, f])[doc], len(uniq)) for f in range(FACTORS)], 1) - total[:, None] * vu
+            least, scale = m * noise[uniq], np.sqrt((sums**2).sum(axis=1).mean())
+            gw[uniq] += total**2
             gv[uniq] += dv**2
-            gb += g.mean() ** 2
-            w[uniq] -= 0.3 * dw / np.sqrt(gw[uniq])
-            v[uniq] -= 0.05 * dv / np.sqrt(gv[uniq])
-            b -= 0.1 * g.mean() / np.sqrt(gb)
-    return keep, b, w, v
+            gb += g.sum() ** 2
+            step = RATE_W / np.sqrt(gw[uniq])
+            wu = w[uniq] - step * total
+            w[uniq] = np.sign(wu) * np.maximum(np.abs(wu) - step * L1_W * least, 0)
+            if epoch >= FIRST:
+                step = RATE_V / np.sqrt(gv[uniq].mean(axis=1))[:, None]
+                vu = vu - step * dv
+                size = np.sqrt((vu**2).sum(axis=1))[:, None] + 1e-12
+                v[uniq] = vu * np.maximum(1 - step * L1_V * scale * least[:, None] / size, 0)
+            b -= 0.1 * g.sum() / np.sqrt(gb)
+    some = (w != 0) | v.any(axis=1)  # the others add nothing to any score
+    return keep[some], b, w[some], v[some]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | None:
@@ -147,7 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | Non
     found = sorted((bytes(r[0]), r[1]) for r in found.toLocalIterator())  # at most `sample` rows
     if not found:
         return None
-    return train([np.frombuffer(t, "<u4") for t, _ in found], np.array([y for _, y in found]))
+    rows, toxic = [np.frombuffer(t, "<u4") for t, _ in found], np.array([y for _, y in found])
+    del found  # train replaces the rows
+    return train(rows, toxic)
 
 
 def scored(docs: DataFrame, machine: tuple | None, text_col: str = "text") -> DataFrame:

@@ -112,6 +112,29 @@ def test_toxicity_learns_words_and_pairs(spark, odd, empty):
     assert toxicity.without_toxic(empty, labels).count() == 0 and toxicity.fit(docs, labels.where("toxic = 0")) is None
 
 
+def test_toxicity_learns_a_rare_pair_of_words_neutral_alone(spark):
+    """One row in ten holds a, one in ten b; both words are toxic in as many rows as others, but only together."""
+    r = random.Random(1)
+    rows, marks, pairs = [], [], set()
+    for i in range(4000):
+        w = [f"n{int(400 * r.random() ** 2)}" for _ in range(20)]
+        u = r.random()
+        both = u < 0.011
+        a, b = u < 0.1, both or 0.1 <= u < 0.189
+        bad = not (a or b) and r.random() < 0.11
+        w += ["gruppe"] * a + ["pest"] * b + ["scum"] * bad
+        r.shuffle(w)
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(bad or both)))
+        if both:
+            pairs.add(i)
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    got = toxicity.scored(docs.where("doc_id >= 3000"), toxicity.fit(docs.where("doc_id < 3000"), labels)).collect()
+    found = [x.score >= 0.5 for x in got if x.doc_id in pairs]
+    assert len(found) >= 5 and sum(found) / len(found) > 0.8
+    assert sum((x.score >= 0.5) == bool(marks[x.doc_id][1]) for x in got) / len(got) > 0.98
+
+
 def test_html_article_among_boilerplate(spark):
     page = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body><header><a href=x>Home</a></header><nav><ul><li><a>One</a><li><a>Two</a></ul></nav>
     <div class="cookie-notice">We use cookies</div><article><h1>A &amp; B</h1><!-- no --><p>First  <b>bold</b>\n text &lt;x&gt;.<br>Next<p>Second &eacute;&#233;<script>var a="<p>";</script>
