@@ -101,12 +101,18 @@ def ground_truth(lists: DataFrame) -> DataFrame:
     return ids.withColumn("matched_source", F.substring("matched_entity_id", 1, 2)).distinct()
 
 
+def _entity_id():
+    """S1-000123: doc_id padded to six digits, and whole if it has more."""
+    number = F.col("doc_id").cast("string")
+    return F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
+
+
 def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of three sources, taken from documents."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     part = (F.col("doc_id") % 3 + 1).cast("string")
     return d.select(
-        F.concat(F.lit("S"), part, F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("entity_id"),
+        _entity_id().alias("entity_id"),
         F.concat(F.lit("S"), part).alias("source"),
         F.substring("text", 1, 60).alias("business_name"),
         F.substring("text", 61, 120).alias("business_address"),
@@ -118,7 +124,7 @@ def sample_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a source-1 record and another of equal whole text and language."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     part = (F.col("doc_id") % 3 + 1).cast("string")
-    rows = d.select(F.concat(F.lit("S"), part, F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("id"), F.concat(F.lit("S"), part).alias("source"), "lang", F.sha2("text", 256).alias("same"))
+    rows = d.select(_entity_id().alias("id"), F.concat(F.lit("S"), part).alias("source"), "lang", F.sha2("text", 256).alias("same"))
     one = rows.where("source = 'S1'").select(F.col("id").alias("source1_entity_id"), "lang", "same")
     two = rows.where("source <> 'S1'").select(F.col("id").alias("matched_entity_id"), F.col("source").alias("matched_source"), "lang", "same")
     return one.join(two, ["lang", "same"]).select(*PAIR)

@@ -196,3 +196,12 @@ def test_models(spark):
     assert models.score_with(df, lambda f: f[FEATURES[0]], FEATURES).where("score <> " + FEATURES[0]).count() == 0
     with pytest.raises(ValueError):
         models.predict(m, df.drop(FEATURES[0]))
+
+
+def test_long_document_ids_stay_whole(spark, tmp_path):
+    ids = [7, 123456, 999999, *range(1234560, 1234570), 12345678901]
+    spark.createDataFrame([(i, f"text {i % 2}", "en") for i in ids], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.entity_id for r in io.sample_records(spark, str(tmp_path)).collect()}
+    assert got == {f"S{i % 3 + 1}-{i:06d}" for i in ids}
+    truth = io.sample_truth(spark, str(tmp_path)).collect()
+    assert {r.source1_entity_id for r in truth} | {r.matched_entity_id for r in truth} <= got and len(set(truth)) == len(truth)
