@@ -89,17 +89,11 @@ ORACLE_SQL = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, i - 1 AS line, regexp_replace(ls[i], '^{_WS}+|{_WS}+$', '', 'g') AS h, len(regexp_extract_all(ls[i], '[^\\x20\\x09-\\x0D]+')) AS w
       FROM t, unnest(range(1, len(ls) + 1)) AS u(i)),
-b AS (SELECT *, row_number() OVER o - 1 AS i, coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bef
-      FROM l WHERE w > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY line)),
-g AS (SELECT doc_id, i, list(h) OVER a AS hs, sum(w) OVER a AS words, list(h) OVER m AS mh, list(line) OVER m AS ml FROM b
-      WINDOW a AS (PARTITION BY doc_id ORDER BY bef RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING),
-             m AS (PARTITION BY doc_id ORDER BY bef RANGE BETWEEN CURRENT ROW AND 99 FOLLOWING)),
-f AS (SELECT *, row_number() OVER v AS k, first_value(mh) OVER v AS mh0 FROM g WHERE words >= 50
-      WINDOW v AS (PARTITION BY hs ORDER BY doc_id, i)),
-x AS (SELECT doc_id, ml, len(hs) AS n, (SELECT coalesce(min(j), len(mh) + 1) FROM unnest(range(1, len(mh) + 1)) AS q(j) WHERE mh0[j] IS DISTINCT FROM mh[j]) AS stop
-      FROM f WHERE k > 1),
-d AS (SELECT DISTINCT doc_id, unnest(ml[1:stop - 1]) AS line FROM x),
-r AS (SELECT doc_id, list(line ORDER BY line) AS removed FROM d GROUP BY 1)
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS i FROM l WHERE w > 0),
+p AS (SELECT x.doc_id, x.line, x.w, x.i, y.doc_id AS other, y.i - x.i AS gap FROM b x JOIN b y ON x.h = y.h AND (y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.i < x.i)),
+q AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, gap ORDER BY i) AS run FROM p),
+z AS (SELECT *, sum(w) OVER (PARTITION BY doc_id, other, gap, run) AS words FROM q),
+r AS (SELECT doc_id, list(DISTINCT line ORDER BY line) AS removed FROM z WHERE words >= 50 GROUP BY 1)
 SELECT t.doc_id, coalesce(len(removed), 0)::BIGINT AS n_removed, coalesce(array_to_string(removed, ','), '') AS removed,
        md5(CASE WHEN removed IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda s, i: NOT list_contains(removed, i - 1)), chr(10)) END) AS kept_md5
 FROM t LEFT JOIN r ON r.doc_id = t.doc_id

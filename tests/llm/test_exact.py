@@ -97,36 +97,6 @@ def test_decontamination_matches_brute_force(spark, odd):
     assert decontaminate.without_leaks(odd, bench.limit(0)).count() == odd.count()
 
 
-def brute_lines(rows, least):
-    """Numbers of the lines to delete, by id."""
-    firsts, gone = {}, defaultdict(set)
-    for d, text in sorted(rows):
-        lines = [(i, s.strip(" \t\n\r\x0b\x0c"), len(s.split())) for i, s in enumerate((text or "").split("\n")) if s.split()]
-        for a in range(len(lines)):
-            z = n = 0
-            for z in range(a, len(lines)):
-                n += lines[z][2]
-                if n >= least:
-                    break
-            if n < least:
-                continue
-            end, total = a, 0  # lines that start less than twice `least` words on
-            while end < len(lines) and total < 2 * least:
-                total += lines[end][2]
-                end += 1
-            tail = lines[z + 1 : end]
-            gram = tuple(s for _, s, _ in lines[a : z + 1])
-            if gram not in firsts:
-                firsts[gram] = [s for _, s, _ in tail]
-                continue
-            gone[d].update(i for i, _, _ in lines[a : z + 1])
-            for (i, s, _), t in zip(tail, firsts[gram]):
-                if s != t:
-                    break
-                gone[d].add(i)
-    return gone
-
-
 def test_line_dedup_matches_brute_force(spark):
     r = random.Random(5)
     pool = [" ".join(f"l{r.randrange(500)}" for _ in range(r.randrange(1, 9))) for _ in range(40)]
@@ -140,7 +110,7 @@ def test_line_dedup_matches_brute_force(spark):
     rows += [(77, "\n".join(["same line"] * 60)), (78, None), (79, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {x.doc_id: x for x in line_dedup.without_repeats(docs, 20).collect()}
-    want = brute_lines(rows, 20)
+    want = all_repeated(rows, 20)
     assert {d: set(x.removed) for d, x in got.items()} == {d: want.get(d, set()) for d, _ in rows}
     for d, text in rows:
         if text is not None:
@@ -160,7 +130,7 @@ def test_line_dedup_after_long_lines(spark):
 
 def all_repeated(rows, least):
     """Numbers of the lines in any run of `least` words or more that stands at an earlier place, by id; every pair of places is compared."""
-    texts = [(d, [(i, s.strip(), len(s.split())) for i, s in enumerate(t.split("\n")) if s.split()]) for d, t in sorted(rows)]
+    texts = [(d, [(i, s.strip(), len(s.split())) for i, s in enumerate((t or "").split("\n")) if s.split()]) for d, t in sorted(rows)]
     places = [(k, a) for k, (_, x) in enumerate(texts) for a in range(len(x))]
     gone = defaultdict(set)
     for n, (k, a) in enumerate(places):
