@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
+import numpy as np
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +22,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def hashes(values: list[bytes]) -> np.ndarray:
+    """64-bit names, the same in every process."""
+    out = np.empty(len(values), object)
+    out[:] = values
+    return hash_array(out, categorize=False)
+
+
 def set_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; set one of our own only where none is named."""
+    """Use the cluster's shared folder; one of our own only where none is named and all runs on this machine."""
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or "/tmp/checkpoints")
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

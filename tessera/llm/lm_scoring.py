@@ -1,18 +1,23 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Method.  The states are the root and one for each history seen in training, a word or the start of
-text.  An arc (state, token) that was seen carries the smoothed probability
-(c(state, token) + m * P1(token)) / (c(state) + m) with m = SCALE * c(state) ** POWER, as busy states
-have more different arcs; any other token leaves by the state's failure arc of weight
-m / (c(state) + m) to the root and pays P1 there.  One traversal from left to right
-adds the logarithms; the state after a token is that token's.  P1 is the add-0.1 unigram model with
-one place for unknown tokens, so all probabilities of a state sum to one.
-
-Distribution.  Texts are dealt into blocks of bounded size.  A block asks for the corpus counts of
-the distinct n-grams it holds, and tells its own counts of training texts: sorted 64-bit names,
-packed by ranges of names.  A range's task adds all blocks' counts and answers each block in the
-order it asked, so the model is never in one place, and each block gets just its own part of the
-automaton.  No n-gram is pruned.
+Method.  The states are the root and one for each history of one to ORDER - 1 tokens seen in
+training, the start of text among them.  An arc (state, token) that was seen carries the smoothed
+probability (c(state, token) + m * P(token | next shorter state)) / (c(state) + m), with
+m = SCALES * c(state) ** POWER, as busy states have more different arcs.  Any other token leaves by
+the state's failure arc of weight m / (c(state) + m) to the state without its oldest token, and so
+on down the chain of failure arcs to the root, where the add-0.1 unigram model with one place for
+unknown tokens answers; so all probabilities of a state sum to one.  One traversal from left to
+right adds the logarithms; the state after a token is the longest history that was seen.
+
+Distribution.  The texts of an input partition become blocks of bounded size: a block's distinct
+tokens as 64-bit names, and its texts as places in that list.  They are written once and read from
+then on.  A block asks for the corpus counts of the distinct n-grams it holds, and tells its own
+counts of training texts, as sorted names packed by ranges of names.  A range's task adds all
+blocks' counts and answers each block in the order it asked, so the model is never in one place,
+and each block gets just its own part of the automaton.  No n-gram is pruned.  A block sends at most
+one message to a range and none without names, so messages never outnumber the n-grams asked for.
+Names of two tokens and more keep NAME_BITS more bits than it takes to count the training tokens, so
+the chance that a name stands for two n-grams is the same at every size, about 2 in 2**NAME_BITS.
 
 Cases.  Null text counts as empty: one token, the end.  A null id is held out.  Rows that repeat an
 id count and are scored each.  An empty training set gives every token the unknown token's share.
@@ -25,17 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-SCALE, POWER = 8.0, 0.7
+ORDER = 3
+#: Scale of m by the order of the arc, and its power.
+SCALES, POWER = {2: 8.0, 3: 2.0}, 0.7
 BLOCK_BYTES = 10 << 20
-SHARD_BYTES = 16 << 20  # of input for each range of names
-END = xxhash.xxh3_64_intdigest(b"")  # no word is empty
-START = xxhash.xxh3_64_intdigest(b" start")
+SHARD_TOKENS = 2_500_000  # of the corpus, for each range of names
+NAME_BITS = 18
+END, START = (int(x) for x in common.hashes([b"", b" start"]))  # no word is empty or holds a space
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -45,32 +52,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all tokens, ends included, and the number of tokens of each text."""
-    parts, sizes = [], []
-    for t in texts:
-        found = (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
-        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
-        parts.append(np.array([END], np.uint64))
-        sizes.append(len(found) + 1)
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), np.array(sizes, np.int64)
+def _shifted(x: np.ndarray, first: np.ndarray, start) -> np.ndarray:
+    """Each place's predecessor; start at the first places of texts."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[first] = start
+    return out
 
 
-def _arcs(tok: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Names of (state, token)."""
-    state = np.empty_like(tok)
-    state[1:] = tok[:-1]
-    state[np.cumsum(sizes) - sizes] = START
-    return _mix(state * _M1 + tok)
+def _grams(tok: np.ndarray, sizes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 to ORDER: the names of the n-grams that end at each place, and the places that have one."""
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(len(tok)) - np.repeat(first, sizes)
+    yield tok, at >= 0
+    state = _shifted(tok, first, np.uint64(START))
+    for n in range(2, ORDER + 1):
+        whole = _mix(state * _M1 + tok + np.uint64(n))
+        yield whole >> np.uint64(64 - bits), at >= n - 2
+        state = _shifted(whole, first, np.uint64(0))
 
 
-def _asked(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For n 1 and 2: n, sorted distinct names, each token's place in them, training counts."""
-    tok, sizes = _tokens(table["text"])
-    learn = np.repeat(~table["held_out"].to_numpy(), sizes)
-    for n, names in ((1, tok), (2, _arcs(tok, sizes))):
-        keys, place = np.unique(names, return_inverse=True)
-        yield n, keys, place, np.bincount(place[learn], minlength=len(keys))
+def _zipped(x: np.ndarray) -> bytes:
+    raw = np.ascontiguousarray(x).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unzipped(b: bytes) -> bytes:
+    return pa.decompress(b[8:], int.from_bytes(b[:8], "little"), "zstd", asbytes=True)
 
 
 def _least_type(x: np.ndarray) -> np.ndarray:
@@ -79,89 +87,159 @@ def _least_type(x: np.ndarray) -> np.ndarray:
 
 
 def _numbers(b: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(b, f"<u{len(b) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+    raw = _unzipped(b)
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64) if n else np.empty(0, np.int64)
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted names as gaps, byte by byte: the upper bytes are zeros, which the shuffle's compression drops."""
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted names as gaps, byte by byte: the upper bytes are mostly zeros, which compression drops."""
+    return _zipped(np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
 
 
 def _unpacked(b: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
-
-
-def _edges(shards: int) -> np.ndarray:
-    return np.array([(2**64 * i) // shards for i in range(1, shards)], np.uint64)
+    return np.cumsum(np.frombuffer(_unzipped(b), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
+
+
+_BLOCK = "block long, ids array<bigint>, held array<boolean>, sizes array<bigint>, vocab binary, tokens binary"
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, held_out, text) as blocks, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, some, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def block() -> pa.RecordBatch:
+            vocab, place = np.unique(np.concatenate([x for _, _, x in some]), return_inverse=True)
+            lists = [[i for i, _, _ in some]], [[h for _, h, _ in some]], [[len(x) for _, _, x in some]]
+            kinds = pa.int64(), pa.bool_(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds)], pa.array([_packed(vocab)], pa.binary()), pa.array([_zipped(_least_type(place))], pa.binary())], names=["block", "ids", "held", "sizes", "vocab", "tokens"])
+
+        end = np.array([END], np.uint64)
+        for batch in batches:
+            for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                text = (t.as_py() or "").encode("utf-8", "surrogatepass")
+                some.append((i, h, np.concatenate([common.hashes(text.lower().split()), end])))
+                size += len(text) + 8
+                if size >= BLOCK_BYTES:
+                    yield block()
+                    name, some, size = name + 1, [], 0
+        if some:
+            yield block()
+
+    return common.cut(rows.mapInArrow(run, _BLOCK))
+
+
+def _opened(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct names, place of each token in them, sizes of texts, whether each token is for training)."""
+    sizes = np.array(block["sizes"], np.int64)
+    return _unpacked(block["vocab"]), _numbers(block["tokens"], int(sizes.sum())), sizes, np.repeat(~np.array(block["held"], bool), sizes)
+
+
+def _messages(block: dict, shards: int, bits: int) -> Iterator[tuple]:
+    """(shard, block, names of each n, training counts of each n), for each range of names that the block has any of."""
+    vocab, place, sizes, learn = _opened(block)
+    every = []
+    for n, (names, has) in enumerate(_grams(vocab[place], sizes, bits), 1):
+        keys, at = np.unique(names[has], return_inverse=True)
+        width = 64 if n == 1 else bits
+        shard = ((keys >> np.uint64(width - 32)) * np.uint64(shards)) >> np.uint64(32)
+        found, starts = np.unique(shard, return_index=True)
+        every.append((keys, np.bincount(at[learn[has]], minlength=len(keys)), dict(zip(found.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(keys)])))))
+    for shard in sorted(set().union(*(at for _, _, at in every))):
+        parts = [(keys[slice(*at.get(shard, (0, 0)))], counts[slice(*at.get(shard, (0, 0)))]) for keys, counts, at in every]
+        yield shard, block["block"], [_packed(k) for k, _ in parts], [_zipped(_least_type(c)) for _, c in parts]
+
+
+def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+
+_ASKED = ["shard", "block", "keys", "counts"], [pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary())]
+_ANSWERED = ["block", "shard", "sizes", "totals"], [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())]
+
+
+def asked(blocks: DataFrame, shards: int, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = list(_messages(batch.slice(i, 1).to_pylist()[0], shards, bits))
+                for j in range(0, len(rows), 512):
+                    yield _table(rows[j : j + 512], *_ASKED)
+
+    return blocks.select("block", "held", "sizes", "vocab", "tokens").mapInArrow(run, "shard long, block long, keys array<binary>, counts array<binary>")
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """Each block's names with the sums over all blocks, in the order it asked."""
+    who, shards, keys, counts = (table[c].to_pylist() for c in _ASKED[0][1:2] + _ASKED[0][:1] + _ASKED[0][2:])
+    sizes, totals = [[] for _ in who], [[] for _ in who]
+    for n in range(ORDER):
+        names = [_unpacked(k[n]) for k in keys]
+        mine = [_numbers(c[n], len(x)) for c, x in zip(counts, names)]
+        uniq, place = np.unique(np.concatenate(names), return_inverse=True)
+        total = np.bincount(place, np.concatenate(mine), minlength=len(uniq)).astype(np.int64)[place]
+        at = 0
+        for i, x in enumerate(names):
+            sizes[i].append(len(x))
+            totals[i].append(_zipped(_least_type(total[at : at + len(x)])))
+            at += len(x)
+    return pa.Table.from_batches([_table(list(zip(who, shards, sizes, totals)), *_ANSWERED)])
+
+
+def _walked(block: dict, answers: list[dict], bits: int, n: int, v: int, ends: int) -> tuple:
+    """(sizes, known tokens, base score, score) of the block's texts."""
+    vocab, place, sizes, _ = _opened(block)
+    first = np.cumsum(sizes) - sizes
+    answers = sorted(answers, key=lambda a: a["shard"])
+    step = before = base = known = None
+    for k, (names, has) in enumerate(_grams(vocab[place], sizes, bits), 1):
+        total = np.concatenate([_numbers(a["totals"][k - 1], a["sizes"][k - 1]) for a in answers])
+        seen = np.zeros(len(names), np.int64)
+        seen[has] = total[np.unique(names[has], return_inverse=True)[1]]
+        if k == 1:
+            known, step = seen > 0, (seen + 0.1) / (n + 0.1 * (v + 1))
+            base = np.log10(step)
+        else:
+            state = _shifted(before, first, ends if k == 2 else 0)  # how often the state was left in training
+            m = SCALES[k] * np.maximum(state, 1) ** POWER
+            fail = m / (state + m)  # one where the state was never seen
+            step = np.where(seen > 0, seen / (state + m) + fail * step, fail * step)
+        before = seen
+    add = lambda x: np.add.reduceat(x, first)
+    return sizes, add(known.astype(np.int64)), add(base), add(np.log10(step))
 
 
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Contract columns for docs; held_out is the condition that keeps a row from training."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    blocks, shards = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // SHARD_BYTES))
-    learnt = rows.where(~F.col("held_out"))
-    seen = learnt.select(F.explode(common.words(F.col("text"))).alias("w")).groupBy(F.xxhash64("w")).agg(F.count(F.lit(1)).alias("c"))
-    n, v = seen.agg(F.sum("c"), F.count(F.lit(1))).first()
-    ends = learnt.count()
-    n, v = (n or 0) + ends, v + (ends > 0)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-
-    def ask(table: pa.Table) -> pa.Table:
-        if not len(table):
-            return table
-        block, out = table["block"][0].as_py(), []
-        for k, keys, _, counts in _asked(table):
-            cuts = [0, *np.searchsorted(keys, _edges(shards)), len(keys)]
-            for i in range(shards):
-                a, z = cuts[i], cuts[i + 1]
-                if z > a:
-                    out.append((i, block, k, _packed(keys[a:z]), _least_type(counts[a:z]).tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["shard", "block", "n", "keys", "counts"])
-
-    def answer(table: pa.Table) -> pa.Table:
-        out = []
-        for k in (1, 2):
-            some = table.filter(pa.compute.equal(table["n"], k))
-            if not len(some):
-                continue
-            keys = [_unpacked(b.as_py()) for b in some["keys"]]
-            counts = [_numbers(b.as_py(), len(x)) for b, x in zip(some["counts"], keys)]
-            uniq, place = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(place, np.concatenate(counts), minlength=len(uniq)).astype(np.int64)[place]
-            at = 0
-            for block, shard, x in zip(some["block"].to_pylist(), some["shard"].to_pylist(), keys):
-                mine = total[at : at + len(x)]
-                at += len(x)
-                out.append((block, shard, k, len(x), _least_type(mine).tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "shard", "n", "size", "totals"])
+    blocks = blocks_of(rows)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                vocab, place, _, learn = _opened(batch.slice(i, 1).to_pylist()[0])
+                counts = np.bincount(place[learn], minlength=len(vocab))
+                yield pa.RecordBatch.from_arrays([pa.array(vocab[counts > 0].view(np.int64)), pa.array(counts[counts > 0])], names=["name", "c"])
+
+    seen = blocks.select("held", "sizes", "vocab", "tokens").mapInArrow(words, "name long, c long").groupBy("name").agg(F.sum("c").alias("c"))
+    end = int(np.uint64(END).astype(np.int64))
+    n, v, ends = (x or 0 for x in seen.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.when(F.col("name") == end, F.col("c")))).first())
+    bits = min(64, max(40, NAME_BITS + n.bit_length()))
+    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    shards = max(1, -(-tokens // SHARD_TOKENS))
 
     def walk(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        got = answers.sort_by([("n", "ascending"), ("shard", "ascending")])
-        tok, sizes = _tokens(texts["text"])
-        totals = {}
-        for k in (1, 2):
-            some = got.filter(pa.compute.equal(got["n"], k))
-            totals[k] = np.concatenate([_numbers(b.as_py(), m) for b, m in zip(some["totals"], some["size"].to_pylist())])
-        one = totals[1][np.unique(tok, return_inverse=True)[1]]
-        two = totals[2][np.unique(_arcs(tok, sizes), return_inverse=True)[1]]
-        first = np.cumsum(sizes) - sizes
-        state = np.empty_like(one)  # how often the state was left in training
-        state[1:] = one[:-1]
-        state[first] = ends
-        root = (one + 0.1) / (n + 0.1 * (v + 1))
-        mu = SCALE * np.maximum(state, 1) ** POWER
-        step = np.where(two > 0, (two + mu * root) / (state + mu), mu / (state + mu) * root)
-        add = lambda x: np.add.reduceat(x, first)
-        return pa.table([texts["doc_id"], texts["held_out"], pa.array(sizes), pa.array(add((one > 0).astype(np.int64))), pa.array(np.full(len(sizes), n, np.int64)), pa.array(add(np.log10(root))), pa.array(add(np.log10(step)))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    asked = rows.groupBy("block").applyInArrow(ask, "shard long, block long, n int, keys binary, counts binary")
-    answers = asked.groupBy("shard").applyInArrow(answer, "block long, shard long, n int, size long, totals binary")
+        found, got = [], answers.to_pylist()
+        for block in texts.to_pylist():
+            sizes, known, base, total = _walked(block, got, bits, n, v, ends)
+            found.append(pa.table([pa.array(block["ids"], pa.int64()), pa.array(block["held"], pa.bool_()), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), n, np.int64)), pa.array(base), pa.array(total)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+        return pa.concat_tables(found)
+
+    answers = asked(blocks, shards, bits).groupBy("shard").applyInArrow(_answer, "block long, shard long, sizes array<bigint>, totals array<binary>")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, out)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, out)
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -10,43 +10,75 @@ from pyspark.sql import functions as F
 from tessera.llm import html_text, language_id, lm_scoring, toxicity
 
 
-def brute_lm(rows, held):
-    """Scores by dictionaries."""
-    texts = {i: [*(t or "").encode().lower().split(), b"</>"] for i, t in rows}
-    one, two, first = Counter(), Counter(), 0
+def brute_model(rows, held, order):
+    """(texts, counts of tokens, p(state, token)) by dictionaries: an unseen arc leaves by the failure arc to the shorter state."""
+    texts = {i: ["<s>", *(t or "").encode().lower().split(), b"</>"] for i, t in rows}
+    seen, left = Counter(), Counter()
     for i, w in texts.items():
         if not held[i]:
-            one.update(w)
-            two.update(zip([b"<s>", *w], w))
-            first += 1
+            for z in range(1, len(w)):
+                for a in range(max(0, z - order + 1), z + 1):
+                    seen[tuple(w[a : z + 1])] += 1
+                    left[tuple(w[a:z])] += 1
+    one = {g: c for g, c in seen.items() if len(g) == 1}
     n, v = sum(one.values()), len(one)
-    out = {}
+
+    def p(state, token):
+        if not state:
+            return (seen[(token,)] + 0.1) / (n + 0.1 * (v + 1))
+        c = left[state]
+        m = lm_scoring.SCALES[len(state) + 1] * max(c, 1) ** lm_scoring.POWER
+        fail = m / (c + m) * p(state[1:], token)
+        return seen[(*state, token)] / (c + m) + fail if c else p(state[1:], token)
+
+    return texts, one, p
+
+
+def brute_lm(rows, held, order):
+    texts, one, p = brute_model(rows, held, order)
+    n, out = sum(one.values()), {}
     for i, w in texts.items():
-        base = score = 0.0
-        for a, b in zip([b"<s>", *w], w):
-            root = (one[b] + 0.1) / (n + 0.1 * (v + 1))
-            left = first if a == b"<s>" else one[a]
-            m = lm_scoring.SCALE * max(left, 1) ** lm_scoring.POWER
-            base += math.log10(root)
-            score += math.log10((two[(a, b)] + m * root) / (left + m))
-        out[i] = (len(w), sum(x in one for x in w), n, base, score)
+        base = sum(math.log10(p((), x)) for x in w[1:])
+        total = sum(math.log10(p(tuple(w[max(0, z - order + 1) : z]), w[z])) for z in range(1, len(w)))
+        out[i] = (len(w) - 1, sum((x,) in one for x in w[1:]), n, base, total)
     return out
 
 
 @pytest.mark.parametrize("block", [1 << 24, 300])
 def test_lm_scores_match_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block)
-    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", block)
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", block // 10)
     r = random.Random(4)
     rows = [(i, " ".join(r.choice(["a", "B", "c", "dd", "é", f"u{i}"]) for _ in range(r.randrange(0, 30)))) for i in range(40)] + [(40, None), (41, "")]
     held = {i: i % 4 == 0 for i, _ in rows}
     got = {x.doc_id: x for x in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 4 == 0).collect()}
-    for i, (n, known, train, base, score) in brute_lm(rows, held).items():
+    assert lm_scoring.ORDER == 3
+    for i, (n, known, train, base, score) in brute_lm(rows, held, 3).items():
         x = got[i]
         assert (x.n_tokens, x.n_known, x.train_tokens, x.held_out) == (n, known, train, held[i])
         assert abs(x.base_score - base) < 1e-8 and abs(x.score - score) < 1e-8
 
 
+def test_lm_probabilities_of_a_state_sum_to_one():
+    """Over all known tokens and one unknown, in states that were seen and in one that was not."""
+    texts, one, p = brute_model([(i, t) for i, t in enumerate(["a b c", "a b a", "b b c a", "c", "a b c b"])], [False] * 5, 3)
+    for state in [(), ("<s>",), ("<s>", b"a"), (b"a", b"b"), (b"b", b"c"), (b"q", b"a"), (b"q",)]:
+        assert abs(sum(p(state, x) for (x,) in one) + p(state, b"unknown") - 1) < 1e-12
+
+
+def test_lm_messages_do_not_outnumber_ngrams(spark, monkeypatch):
+    """Blocks times ranges grow with the square of the input; messages stay below the n-grams asked for."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 200)
+    r = random.Random(5)
+    sent = []
+    for size in (40, 160):
+        rows = spark.createDataFrame([(i, False, " ".join(f"w{r.randrange(5000)}" for _ in range(8))) for i in range(size)], "doc_id long, held_out boolean, text string")
+        blocks = lm_scoring.blocks_of(rows)
+        sent.append(lm_scoring.asked(blocks, size * 10, 40).count())
+        assert sent[-1] <= size * (9 + 9 + 8)
+    assert sent[1] < 4.5 * sent[0]
+
+
 def test_lm_odd_rows(odd, empty):
     assert lm_scoring.score(odd, F.col("doc_id") == 1).count() == odd.count()
     assert lm_scoring.score(odd, F.lit(True)).where("n_known > 0 or train_tokens <> 0").count() == 0
