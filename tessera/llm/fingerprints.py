@@ -2,10 +2,12 @@
 
 Method.  The k-mers are runs of K words (fewer words make one run), each numbered by its occurrence
 in the text, so that a repeated run counts as often as it stands there.  The numbered k-mers are
-hashed once; the hash's top bits deal them into BINS bins, and in each bin the PICK smallest are
-selected, put back into text order, and hashed as a tuple.  A signature is the list of bin and tuple
-hash; the share of equal entries among bins that either text fills falls with the edit distance,
-since an edit changes the minima and a move changes their order.
+hashed once; the hash's top bits deal them into BINS bins, which take the place of as many hash
+functions.  For each bin that holds a k-mer the PICK smallest hashes from the bin's start on are
+selected, in a ring, so that a bin with one k-mer borrows the next bin's least; they are put back
+into text order and hashed as a tuple.  A signature is the list of bin and tuple hash; the share of
+equal entries among bins that either text fills falls with the edit distance, since an edit changes
+the minima and a move changes their order, in texts of any length.
 
 Cases.  Null text counts as empty and has the empty fingerprint; two empty fingerprints are alike
 (1), an empty and a full one not (0).  Rows that repeat id and text are one document in the
@@ -60,9 +62,8 @@ def signature(text: Column) -> Column:
         top = _PLACE + _VALUE - 6  # 64 bins
 
         def one(starts: Column) -> Column:
-            def entry(a: Column, j: Column) -> Column:
-                end = F.coalesce(F.get(starts, j + 1), F.size(v))
-                picked = F.slice(v, a + 1, F.least(F.lit(PICK), end - a))
+            def entry(a: Column) -> Column:
+                picked = F.transform(F.sequence(F.lit(0), F.least(F.lit(PICK), F.size(v)) - 1), lambda i: F.get(v, (a + i) % F.size(v)))
                 ordered = F.sort_array(F.transform(picked, lambda x: F.shiftleft(x.bitwiseAND(_mask(_PLACE)), _VALUE).bitwiseOR(_value(x))))
                 tuple_hash = F.xxhash64(F.transform(ordered, lambda x: x.bitwiseAND(_mask(_VALUE)))).bitwiseAND(_mask(26))
                 return F.shiftleft(F.shiftright(F.get(v, a), top), 26).bitwiseOR(tuple_hash)

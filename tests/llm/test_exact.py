@@ -223,6 +223,33 @@ def test_shards_are_even_and_whole(spark, odd, empty):
     assert sharding.shuffled(empty, 24).count() == 0
 
 
+def test_shuffle_is_a_fisher_yates_fixed_by_the_seed(spark, tmp_path):
+    """The permutation by plain Python over Spark's draws; the same places whatever the number of partitions; even odds."""
+    from pyspark.sql import functions as F
+
+    n = 9
+    rows = spark.range(400).select("id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.pmod(F.xxhash64(F.lit(5), F.col("id"), i), i + 1).cast("int")).alias("draws"), sharding._permutation(F.col("id"), F.lit(n), 5).alias("got")).collect()
+    seen = Counter()
+    for x in rows:
+        want = []
+        for i, j in enumerate(x.draws):
+            want.append(i)
+            if j < i:
+                want[i], want[j] = want[j], i
+        assert list(x.got) == want and sorted(want) == list(range(n))
+        seen.update(enumerate(want))
+    assert all(abs(seen[(a, b)] / 400 - 1 / n) < 0.07 for a in range(n) for b in range(n))
+    spark.range(3000).selectExpr("id as doc_id", "repeat('y', cast(id % 30 as int)) as text").write.parquet(f"{tmp_path}/t")
+    places, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("4", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        places.append(sorted((x.doc_id, x.shard, x.slot) for x in sharding.shuffled(spark.read.parquet(f"{tmp_path}/t"), 24, bucket_rows=100).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert places[0] == places[1]
+
+
 def brute_signature(text):
     """The signature by sorting numbered pairs of words; hashes by Spark, given as a function."""
     w, seen, out = text.split(), Counter(), []
@@ -241,15 +268,32 @@ def test_signature_matches_brute_force(spark):
     low = (1 << 37) - 1
     one = spark.createDataFrame([(list(g), n, i) for g, n, i in numbered], "g array<string>, n int, i int")
     one = one.selectExpr(f"xxhash64(g) & {low} as h", "n", "i").selectExpr(f"xxhash64(h, n) & {low} as v", "i")
-    bins = defaultdict(list)
-    for v, i in sorted((x.v, x.i) for x in one.collect()):
-        bins[v >> 31].append((v, i))
-    picked = [(b, [v for v, _ in sorted(xs[:2], key=lambda x: x[1])]) for b, xs in sorted(bins.items())]
+    ring = sorted((x.v, x.i) for x in one.collect())
+    picked, seen = [], set()
+    for at, (v, _) in enumerate(ring):
+        if v >> 31 not in seen:  # the first of its bin, and the next in the ring
+            seen.add(v >> 31)
+            picked.append((v >> 31, [w for w, _ in sorted([ring[at], ring[(at + 1) % len(ring)]], key=lambda x: x[1])]))
     want = [(b << 26) | (h & ((1 << 26) - 1)) for b, h in ((x.b, x.h) for x in spark.createDataFrame(picked, "b long, t array<bigint>").selectExpr("b", "xxhash64(t) as h").collect())]
     docs = spark.createDataFrame([(text,)], "text string")
     assert docs.select(fingerprints.signature(docs["text"])).first()[0] == want
 
 
+def test_order_counts_in_texts_of_any_length(spark):
+    """Swapped halves put half of all pairs of words in another order, so about half of the tuples differ."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    for n in (20, 40, 100, 200, 1000):
+        rows = []
+        for _ in range(60 if n < 200 else 12):
+            w = [f"q{x}" for x in r.sample(range(10**6), n)]
+            rows.append((" ".join(w), " ".join(w[n // 2 :] + w[: n // 2])))
+        docs = spark.createDataFrame(rows, "a string, b string").select(fingerprints.signature(F.col("a")).alias("a"), fingerprints.signature(F.col("b")).alias("b"))
+        mean = docs.agg(F.avg(fingerprints.likeness(F.col("a"), F.col("b")))).first()[0]
+        assert 0.3 < mean < 0.62, (n, mean)
+
+
 def test_fingerprints(spark, odd, empty, tmp_path):
     r = random.Random(2)
     long = " ".join(f"t{r.randrange(500)}" for _ in range(400))
