@@ -159,8 +159,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = now.select(F.col("p").alias("n"), F.col("c").alias("m")).unionByName(now.select(F.col("c").alias("n"), F.col("p").alias("m")))
-        least = both.groupBy("n").agg(F.min("m").alias("q")).select("n", F.least("q", "n").alias("q"))
+        # Written: the joins below then have a plain exchange on both sides, and a centre's edges can be split.
+        least = cut(both.groupBy("n").agg(F.min("m").alias("q")).select("n", F.least("q", "n").alias("q")))
         large = both.where("m > n").join(least, "n").select(F.col("q").alias("p"), F.col("m").alias("c")).where("p <> c").distinct()
+        large = cut(large)
         small_min = large.groupBy("c").agg(F.min("p").alias("q"))
         small = large.join(small_min, "c").select(F.col("q").alias("x"), "p", "c")
         now = small.select(F.col("x").alias("p"), "c").unionByName(small.where("p <> x").select(F.col("x").alias("p"), F.col("p").alias("c"))).distinct()

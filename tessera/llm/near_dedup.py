@@ -23,12 +23,12 @@ alone has a null component id.  Other columns are ignored, and kept by keep_one(
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,15 +53,20 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space alone
     if not found:
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    w = common.hashes(found)
     if len(w) < n:
-        return np.array([xxhash.xxh3_64_intdigest(w.tobytes())], np.uint64)
+        return common.hashes([w.tobytes()])
     h = np.zeros(len(w) - n + 1, np.uint64)
     for i in range(n):
         h = mixed(h * _P1 + w[i : len(w) - n + 1 + i])
     return np.unique(h)
 
 
+def set_name(h: np.ndarray) -> bytes:
+    """128 bits that name a set."""
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+
+
 def minima(h: np.ndarray) -> np.ndarray:
     """The least value of each of K hash functions over the set, block by block."""
     low = np.full(K, np.iinfo(np.uint64).max, np.uint64)
@@ -105,7 +110,7 @@ def signatures(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
                 sizes.append(len(h))
                 if len(h):
                     low = minima(h)
-                    nodes.append(xxhash.xxh3_128_digest(h.tobytes()))
+                    nodes.append(set_name(h))
                     bands.append(band_keys(low))
                     packed.append(planes(low))
                 else:
@@ -125,7 +130,7 @@ def _sets(docs: DataFrame, n: int, wanted: DataFrame, id_col: str, text_col: str
             sets = [shingle_set(t.as_py(), n) for t in batch.column(0)]
             for i in range(0, len(sets), 256):
                 part = sets[i : i + 256]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in part], pa.binary()), _lists([h.view(np.int64) for h in part], pa.int64())], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_name(h) if len(h) else None for h in part], pa.binary()), _lists([h.view(np.int64) for h in part], pa.int64())], names=["node", "shingles"])
 
     texts = docs.select(common.doc_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     texts = common.semi(texts, wanted, ["key"]).select("text")
@@ -242,9 +247,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     classes = common.cut(classes)
     leads = classes.groupBy("root").agg(F.min("lead").alias("first"))
     named = classes.join(leads, "root").select("node", "first")
-    out = sig.select("doc_id", "key", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
-    out = out.select("doc_id", "key", "n_shingles", "node", component.alias("component_id"), (F.col("node").isNull() | (F.col("key") == F.col("first.key"))).alias("stays"))
+    rows = sig.select("doc_id", "key", "n_shingles", "node")  # those without words need no partner and would all meet under one null
+    out = rows.where("node is not null").join(common.cut(named), "node")
+    out = out.select("doc_id", "key", "n_shingles", "node", F.col("first.doc_id").alias("component_id"), (F.col("key") == F.col("first.key")).alias("stays"))
+    out = out.unionByName(rows.where("node is null").select("*", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("stays")))
 
 

@@ -18,10 +18,14 @@ _MODULES = {
 }
 
 
+# Read here, so that whoever imports this module learns at once if a part is missing.
+_FOUND = {name: importlib.import_module(f"{__package__}.{m}") for name, m in _MODULES.items()}
+
+
 def queries() -> dict:
-    return {name: getattr(importlib.import_module(f"{__package__}.{m}"), name) for name, m in _MODULES.items()}
+    return {name: getattr(m, name) for name, m in _FOUND.items()}
 
 
 def oracle_sql() -> dict:
-    found = {name: getattr(importlib.import_module(f"{__package__}.{m}"), "ORACLE_SQL", None) for name, m in _MODULES.items()}
+    found = {name: getattr(m, "ORACLE_SQL", None) for name, m in _FOUND.items()}
     return {name: sql for name, sql in found.items() if sql}

@@ -8,8 +8,9 @@ by AdaGrad, the weights first and then the vectors too.  After each step a term'
 length of its vector, shrink by a multiple of the noise that chance leaves in its gradient, so a word
 that tells nothing alone gets no weight and still has a vector for what it tells in pairs.
 
-The machine is fitted on at most about `sample` labelled rows (SAMPLE), chosen by a hash of the id,
-of which rows with equal terms count once; every text is scored whole.
+The machine is fitted on at most about `sample` labelled rows (SAMPLE) and `sample_bytes` of their
+texts (SAMPLE_BYTES), chosen by a hash of the id, of which rows with equal terms count once; every
+text is scored whole.
 
 Cases.  Null and empty texts have no terms and get sigmoid(b).  Labels that are null or belong to a
 null id or an id without a document are not used; an id with several labels is toxic if one is.
@@ -24,13 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE = 16_000
+SAMPLE, SAMPLE_BYTES = 16_000, 96 << 20
 BITS = 22
 FACTORS, EPOCHS, LEAST = 8, 30, 5
 #: Training: rows a step, size of the first vectors, rates and penalties of weights and vectors, epochs of weights alone.
@@ -43,7 +43,7 @@ def _terms(word: str) -> tuple[int, ...]:
     if not w:
         return ()
     names = {w, "4" + w[:4] if len(w) >= 4 else w, "5" + w[:5] if len(w) >= 5 else w}
-    return tuple(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) >> (64 - BITS) for x in names)
+    return tuple(int(x) >> (64 - BITS) for x in common.hashes([x.encode("utf-8", "surrogatepass") for x in sorted(names)]))
 
 
 def _words(text: str | None) -> set[str]:
@@ -126,13 +126,16 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
     return keep[some], b, w[some], v[some]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> tuple | None:
     """The machine of docs (doc_id, text) with labels (doc_id, toxic)."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    count = marks.count()
-    if count > sample:
-        marks = marks.where(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 1) < F.lit(int(2**63 * 0.97 * sample / count)))
-    marks = common.hinted(common.cut(marks), min(count, sample))
+    count, draw = marks.count(), F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 1)
+    below = lambda share: draw < F.lit(min(int(2**63 * share), 2**63 - 1))
+    share = 0.97 * sample / count if count > sample else 1.0
+    marks = common.hinted(common.cut(marks.where(below(share))), min(count, sample))
+    size = docs.select("doc_id", F.octet_length("text").alias("size")).join(marks, "doc_id").agg(F.sum("size")).first()[0] or 0
+    if size > sample_bytes:
+        marks = common.hinted(marks.where(below(share * sample_bytes / size)), min(count, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
