@@ -101,6 +101,13 @@ def semi(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
     return _sifted(rows, keys, by).where("_may").drop("_may").join(*_same(keys, by), "left_semi")
 
 
+def matched(rows: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join of rows with found (written, named apart but for by); nulls equal nulls."""
+    some = _sifted(rows, found, by).where("_may").drop("_may")
+    right = found.withColumnsRenamed({c: f"_k_{c}" for c in by})
+    return some.join(right, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]).drop(*[f"_k_{c}" for c in by])
+
+
 def anti(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
     """The rows whose key keys (written, by alone) has not; nulls equal nulls."""
     some = _sifted(rows, keys, by)

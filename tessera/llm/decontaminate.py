@@ -3,9 +3,16 @@
 Method.  Items and documents are sets of hashes of distinct n-word shingles.  Items are parted by
 size (powers of two).  For each part a bottom-k MinHash sketch is kept of every item, with k the
 smallest number of minima that a document holding the asked share of the item cannot miss
-altogether: floor((1 - share) * size) + 1 at the part's largest size.  A document is a candidate
-for an item if it holds one of the sketch's minima; candidates are confirmed by exact containment,
-shared shingles over the item's shingles, on whole texts.
+altogether: floor((1 - share) * size) + 1 at the part's largest size.  Documents are searched part
+by part, in one pass: a part's documents have as many shingles as its smallest item asks for, and a
+shingle is looked up only if its order is not above the part's largest minimum.  A document is a
+candidate for an item if it holds one of the sketch's minima; candidates are confirmed by exact
+containment, shared shingles over the item's shingles, on whole texts.
+
+Scale.  The path is the same for a benchmark of any size: a sieve of fixed size passes by the
+shingles that are surely no minimum, the rest meets the minima in a shuffle join.  The minima, the
+pairs and the sketches are written tables, so a frequent shingle, item or document makes a skewed
+partition of a plain join, which can be split.
 
 Cases.  Null or empty texts have no shingles and match nothing, items as well as documents; an item
 of fewer than n words is one shingle, which only an equally short document can hold.  Rows that
@@ -40,24 +47,22 @@ def contained(docs: DataFrame, items: DataFrame, n: int = 5, share_pct: int = 80
     """Pairs (doc_id, item_id, shared, item_size, containment) with 100 * shared >= share_pct * item_size."""
     items = items.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).distinct()
     index = common.cut(sketches(items, n, share_pct))
-    rows = index.agg(F.sum(F.size("shingles")), F.count(F.lit(1))).first()
-    small = (rows[0] or 0) <= common.SMALL_ROWS  # longs: 16 bytes a shingle
-    near = lambda df: F.broadcast(df) if small else df
-    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("key"), common.shingle_hashes(common.words(F.col(text_col)), n).alias("set"))
-    posting = near(index.select("item", F.explode("minima").alias("h")))
-    pairs = texts.select("doc", "key", F.explode("set").alias("h")).join(posting, "h").select("doc", "key", "item").distinct()
-    pairs = common.cut(pairs)
-    wanted = pairs.select(F.col("doc").alias("d"), F.col("key").alias("k"), "item")
-    again = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    again = common.semi(again, pairs.select("doc", "key").distinct(), ["doc", "key"])
-    again = again.select("doc", "key", common.shingle_hashes(common.words(F.col("text")), n).alias("set"))
-    again = again.join(wanted, F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
-    full = index.select("item", "size", "shingles")
-    full = F.broadcast(full) if small else full
-    shared = F.size(F.array_intersect("set", "shingles")).cast("long")
-    # A null item id still is an item, so the comparison is null-safe.
-    out = again.withColumnRenamed("item", "i").join(full, F.col("i").eqNullSafe(F.col("item"))).withColumn("shared", shared)
-    out = out.where(F.col("shared") * 100 >= F.col("size") * share_pct)
+    # One row a part, and parts are powers of two: its smallest size and its largest minimum in the common order.
+    parts = index.groupBy("part").agg(F.min("size").alias("least"), F.max(_seeded(F.element_at("minima", -1))).alias("last")).collect()
+    posting = common.cut(index.select("item", F.explode("minima").alias("h")))
+    in_some_part = F.lit(False)
+    for p in parts:
+        in_some_part = in_some_part | ((F.size("set") * 100 >= p["least"] * share_pct) & (F.col("o") <= p["last"]))
+    key = F.xxhash64(F.col(text_col)).alias("key")
+    sets = docs.select(F.col(id_col).alias("doc"), key, common.shingle_hashes(common.words(F.col(text_col)), n).alias("set"))
+    looked_up = sets.select("doc", "key", "set", F.explode("set").alias("h")).withColumn("o", _seeded(F.col("h"))).where(in_some_part).select("doc", "key", "h")
+    pairs = common.cut(common.matched(looked_up, posting, ["h"]).select("doc", "key", "item").distinct())
+    # A null item id still is an item, and so is a null document id.
+    full = index.select(F.col("item").alias("i"), "size", "shingles")
+    wanted = common.cut(pairs.join(full, F.col("item").eqNullSafe(F.col("i"))).drop("i"))
+    texts = docs.select(F.col(id_col).alias("doc"), key, F.col(text_col).alias("text"))
+    out = common.matched(texts, wanted, ["doc", "key"]).withColumn("set", common.shingle_hashes(common.words(F.col("text")), n))
+    out = out.withColumn("shared", F.size(F.array_intersect("set", "shingles")).cast("long")).where(F.col("shared") * 100 >= F.col("size") * share_pct)
     out = out.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(F.max(F.struct((F.col("shared") / F.col("size")).alias("c"), "shared", "size")).alias("m"))
     return out.select("doc_id", "item_id", F.col("m.shared").alias("shared"), F.col("m.size").alias("item_size"), F.round("m.c", 6).alias("containment"))
 

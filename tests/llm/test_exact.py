@@ -128,6 +128,27 @@ def test_line_dedup_after_long_lines(spark):
     assert got == {1: [], 2: list(range(1, 8)), 3: list(range(5))}
 
 
+def test_decontamination_with_many_items(spark):
+    """More than 20,000 shingles of items, of all sizes, one of them in most documents: nothing changes."""
+    r = random.Random(7)
+    word = lambda: f"z{int(4000 * r.random() ** 2)}"
+    items = [(i, " ".join(word() for _ in range(r.choice([5, 6, 9, 16, 30, 60, 130])))) for i in range(900)]
+    assert sum(len(shingles(t, 5)) for _, t in items) > 20_000
+    docs = []
+    for d in range(150):
+        w = [word() for _ in range(r.randrange(2, 120))]
+        for i in ({0} if r.random() < 0.7 else set()) | {r.randrange(900) for _ in range(r.randrange(3))}:
+            part = items[i][1].split()
+            if r.random() < 0.5:
+                part[r.randrange(len(part))] = "edit"
+            w[len(w) // 2 : len(w) // 2] = part
+        docs.append((d, " ".join(w)))
+    sets = {i: shingles(t, 5) for i, t in items}
+    want = {(d, i, len(s & x), len(s)) for d, t in docs for x in [shingles(t, 5)] for i, s in sets.items() if 100 * len(s & x) >= 80 * len(s)}
+    got = decontaminate.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id, x.shared, x.item_size) for x in got.collect()} == want and len(want) > 100
+
+
 def all_repeated(rows, least):
     """Numbers of the lines in any run of `least` words or more that stands at an earlier place, by id; every pair of places is compared."""
     texts = [(d, [(i, s.strip(), len(s.split())) for i, s in enumerate((t or "").split("\n")) if s.split()]) for d, t in sorted(rows)]
