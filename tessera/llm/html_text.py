@@ -1,27 +1,33 @@
 """Main text of web pages by line-block distribution.
 
 Method.  Markup is stripped and the page becomes lines, one for each block element, in page order.
-Boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments), told by tag, role, class or id, give lines of no weight, and so do lines that are mostly
-links.  The border of a container gives an empty line, but borders between two lines outside
-boilerplate give none.  The weights are summed over a window of WIDTH
-lines; a region surges where the sum leaves zero and dives where it returns to it.  Regions of LEAST
-and the heaviest one are kept.  A line weighs PLAIN for each character.  Only if article or main
-elements hold half of the page's text, or more, their lines weigh LEAST a character, links or not,
-and other lines one: any region with tagged text is then kept, others if they have LEAST characters.
-All lines of a kept region, from its first line of weight to its last, are kept whatever their links,
-but those of boilerplate elements.  WIDTH lines in a row that are mostly links end a region, as menus do.
+Lines of boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, comments),
+told by tag, role or whole class and id names, weigh nothing and are never kept; nor is what scripts,
+styles and the page's head hold.  A line weighs its characters, or nothing if it is mostly links and
+no paragraph, as the lines of menus are.  The border of a container weighs nothing, but borders
+between two lines outside boilerplate are left out.  The weights are summed over a window of WIDTH
+lines that slides over the page.  Where the sum leaves zero a region begins, and it dives where the
+sum is zero again; it surges if the sum reaches SURGE in between.  Regions that surge are kept, or the
+densest one if none does, each from its first line of weight to its last, whatever the lines between
+them hold, but for boilerplate.
+
+Tags are a weight: a character inside article or main elements counts SURGE, so that any text there
+surges; others count PLAIN, or one if the tagged text is half of the page's text or more, since what
+stands beside such an article must be long to be part of it.
 
 Cases.  Null or empty html, and pages without text, give the empty text.  Elements left open are
-closed by the next closing container; a page cut off in a tag or comment ends there.  Character
-references are decoded; white space inside a block becomes one space.  Rows that repeat are treated
-each.  Other columns pass unchanged; columns named text or n_chars are replaced.
+closed by the next closing container; a page cut off in a tag or comment ends there.  A form around an
+article or main element is no boilerplate.  Character references are decoded; white space inside a
+block becomes one space.  The time grows with the page's length, however broken or deeply nested it
+is.  Rows that repeat are treated each.  Other columns pass unchanged; columns named text or n_chars
+are replaced.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,152 +37,215 @@ from pyspark.sql import functions as F
 from . import common
 
 WIDTH = 3
-#: Least weight of a region, and the weight of a character where tags tell nothing: 20 characters or more make a region.
-LEAST, PLAIN = 200, 10
+#: Window sum of a surge, and the weight of a character where tags tell nothing: 20 characters in a window then surge.
+SURGE, PLAIN = 200, 10
 #: Element names.
-RAW = ("script", "style", "noscript", "template", "svg", "textarea", "iframe", "object", "head", "select", "canvas", "math")
-AWAY = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "header", "label", "fieldset"}
+RAW = {"script", "style", "noscript", "template", "svg", "textarea", "iframe", "object", "head", "title", "select", "canvas", "math"}
+AWAY = {"nav", "footer", "aside", "menu", "dialog", "button", "header", "label", "fieldset"}
 BOXES = {"div", "section", "article", "main", "nav", "footer", "aside", "form", "header", "table", "body", "ul", "ol", "dl", "menu", "dialog", "fieldset", "figure", "td", "center", "button"}
-BLOCKS = BOXES | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "blockquote", "tr", "th", "caption", "figcaption", "hr", "address", "details", "summary", "html", "title", "legend", "option", "thead", "tbody", "tfoot"}
+HEADS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+BLOCKS = BOXES | HEADS | {"p", "li", "dt", "dd", "pre", "blockquote", "tr", "th", "caption", "figcaption", "hr", "address", "details", "summary", "html", "legend", "option", "thead", "tbody", "tfoot"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
+#: Words of class and id names.  A name is boilerplate if one part is and all others are neutral, or if one part is sure.
 BOILER_WORDS = {
-    "ad", "ads", "advert", "advertisement", "adverts", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "consent", "cookie", "cookies",
-    "disqus", "footer", "header", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "related",
-    "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget", "gdpr", "alert", "aside",
+    "ad", "ads", "banner", "comment", "consent", "cookie", "cookies", "footer", "header", "login", "menu", "modal", "nav", "navigation", "newsletter", "notice", "notices",
+    "pager", "popup", "promo", "related", "replies", "respond", "search", "share", "sharing", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription",
+    "toolbar", "topbar", "widget", "gdpr", "alert", "aside",
+}
+SURE_WORDS = {"advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "commentlist", "comments", "disqus", "navbar", "pagination", "sidebar"}
+NEUTRAL_WORDS = {
+    "site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "container", "wrapper", "wrap", "box", "bar", "area", "section", "block", "content",
+    "inner", "outer", "list", "item", "items", "link", "links", "slot", "panel", "zone", "text", "body", "author", "form", "reader", "user", "buttons", "icons", "media", "posts", "stories", "policy", "the", "to", "js",
 }
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "alertdialog"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^<>]*$", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_PART = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+# A quote opens a value only after an equals sign; possessive, so that no character is looked at twice.
+_ATTRS = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"?+|'[^']*+'?+)?+)*+")
+_ATTR = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^\s>]++)))?+")
+_PART = re.compile(r"[a-z]+")
 _BORDER = object()
 
 
-def _boiler(name: str, attrs: str, in_article: bool) -> bool:
+def _attributes(attrs: str) -> dict[str, str]:
+    return {k.lower(): (a or b or c).lower() for k, a, b, c in reversed(_ATTR.findall(attrs))}  # the first of equal names counts
+
+
+def _boiler_name(name: str, in_article: bool) -> bool:
+    parts = {x for x in _PART.findall(name) if len(x) > 1}
+    if in_article:
+        parts.discard("header")  # an article's own header holds its title
+    return bool(parts & SURE_WORDS or parts & BOILER_WORDS and parts <= BOILER_WORDS | NEUTRAL_WORDS)
+
+
+def _boiler(name: str, attrs: dict[str, str], in_article: bool) -> bool:
     if name in AWAY and not (name == "header" and in_article):
         return True
-    if not attrs or name in ("body", "html", "article", "main"):
-        return bool(attrs) and name == "article" and any(w in ("comment", "comments") for _, a, b, c in _ATTR.findall(attrs) for w in _PART.findall((a or b or c).lower()))
-    for key, a, b, c in _ATTR.findall(attrs):
-        value, key = (a or b or c).lower(), key.lower()
-        if key == "role" and value in BOILER_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key in ("class", "id") and any(w in BOILER_WORDS for w in _PART.findall(value)):
-            return True
-    return False
+    if name in ("body", "html", "main"):
+        return False
+    names = [*attrs.get("class", "").split(), *attrs.get("id", "").split()]
+    if name == "article":
+        return any({"comment", "comments"} & set(_PART.findall(x)) for x in names)
+    if attrs.get("role") in BOILER_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        return True
+    return any(_boiler_name(x, in_article) for x in names)
+
+
+class Line:
+    """A block's text, how much of it is linked, and where it stands."""
+
+    __slots__ = ("text", "links", "off", "marked", "prose")
+
+    def __init__(self, text: str, links: int, off: bool, marked: bool, prose: bool):
+        self.text, self.links, self.off, self.marked, self.prose = text, links, off, marked, prose
 
 
 def lines(page: str) -> list:
-    """Blocks in page order as [text, link characters, in boilerplate, in article], with _BORDER between containers."""
+    """Blocks in page order, with _BORDER between containers."""
     out: list = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
+    stack: list[tuple[str, int, int, int]] = []  # name, boilerplate, article, forms around an article
+    still_open: Counter = Counter()
     buf: list[str] = []
-    links, in_link, off, marked, at = 0, 0, 0, 0, 0
+    unclosed: set[str] = set()  # raw elements whose end tag the rest of the page lacks
+    links = in_link = off = marked = forms = at = 0
+    prose = False
 
     def flush() -> None:
         nonlocal links
         text = " ".join(_html.unescape("".join(buf)).split())
         if text:
-            out.append([text, links, off > 0, marked > 0])
+            out.append(Line(text, links, off > 0 or forms > 0, marked > 0, prose))
         buf.clear()
         links = 0
 
     def pop() -> None:
-        nonlocal off, marked
-        _, bad, art = stack.pop()
+        nonlocal off, marked, forms
+        name, bad, art, around = stack.pop()
+        still_open[name] -= 1
         off -= bad
         marked -= art
+        forms = forms - (name == "form") + around
 
-    end = len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        text = page[at : m.start() if m else end]
+    def said(text: str) -> None:
+        nonlocal links
         if text:
             buf.append(text)
             if in_link:
                 links += len(text)
-        if not m:
+
+    end = len(page)
+    while at < end:
+        lt = page.find("<", at)
+        if lt < 0:
+            said(page[at:])
             break
-        at = m.end()
-        name = m[2]
-        if not name:
+        said(page[at:lt])
+        if page.startswith("<!--", lt):
+            gt = page.find("-->", lt + 4)
+            at = end if gt < 0 else gt + 3
             continue
-        name, closing, attrs = name.lower(), m[1], m[3] or ""
-        if not closing and name in RAW and not attrs.rstrip().endswith("/"):
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if close is None and name == "head":
-                close = re.compile(r"(?=<body)", re.I).search(page, at)
-            at = close.end() if close else end if name != "head" else at
+        closing = page.startswith("</", lt)
+        m = _NAME.match(page, lt + 1 + closing)
+        if not m:
+            if closing or page.startswith(("<!", "<?"), lt):
+                gt = page.find(">", lt)
+                at = end if gt < 0 else gt + 1
+            else:  # no tag
+                said("<")
+                at = lt + 1
+            continue
+        name, found = m[0].lower(), _ATTRS.match(page, m.end())
+        at = found.end() + 1
+        if at > end:
+            break  # cut off in a tag
+        attrs, alone = found[0], found[0].rstrip().endswith("/")
+        if not closing and name in RAW and not alone:
+            close = None if name in unclosed else re.compile(rf"</{name}\s*+>", re.I).search(page, at)
+            if close is None:
+                unclosed.add(name)
+                if name == "head":
+                    continue
+            at = close.end() if close else end
             flush()
             continue
         if name == "a":
             in_link = 0 if closing else 1
         if name in BLOCKS:
             flush()
+            prose = name == "p" and not closing
             if name in BOXES:
                 out.append(_BORDER)
         if name == "br":
             buf.append(" ")
         if closing:
-            known = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if known is not None and (name in BOXES or not any(s[0] in BOXES for s in stack[known + 1 :])):
-                while len(stack) > known:
-                    if stack[-1][1] and name not in BLOCKS:
-                        flush()
-                    pop()
+            if still_open[name]:
+                top = len(stack) - 1
+                while stack[top][0] != name and (name in BOXES or stack[top][0] not in BOXES):
+                    top -= 1
+                if stack[top][0] == name:
+                    while len(stack) > top:
+                        if stack[-1][1] and name not in BLOCKS:
+                            flush()
+                        pop()
         elif name not in VOID:
-            if name in BLOCKS and stack and stack[-1][0] in ("p", "li", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6") and (name in BOXES - {"td", "ul", "ol", "dl"} or name == stack[-1][0] or stack[-1][0] == "p"):
+            last = stack[-1][0] if stack else ""
+            if name in BLOCKS and (last == "p" or last in HEADS | {"li", "dt", "dd"} and (name == last or name in BOXES - {"td", "ul", "ol", "dl"} and last in HEADS)):
                 pop()
-            bad = _boiler(name, attrs, marked > 0)
+            known = _attributes(attrs) if attrs.strip() else {}
+            bad = _boiler(name, known, marked > 0)
             if name in BOXES or bad or name in ("p", "li"):
                 if bad and name not in BLOCKS:
                     flush()
-                if not attrs.rstrip().endswith("/"):
-                    art = name in ("article", "main") and not bad or bool(re.search(r"role\s*=\s*[\"']?main\b", attrs))
-                    stack.append((name, bad, art))
+                if not alone:
+                    art = int(name in ("article", "main") and not bad or known.get("role") == "main")
+                    around = forms if art else 0
+                    stack.append((name, int(bad), art, around))
+                    still_open[name] += 1
                     off += bad
                     marked += art
+                    forms += (name == "form") - around
     flush()
     return out
 
 
+def regions(weights: list[int], surge: int = SURGE, width: int = WIDTH) -> list[tuple[int, int]]:
+    """First and last weighted line of each region that surges, or of the densest one if none does."""
+    found, begin, most, total = [], None, 0, sum(weights[: width - 1])
+    for i in range(len(weights) + 1):  # total: the sum of the window that begins at line i
+        total += weights[i + width - 1] if i + width - 1 < len(weights) else 0
+        if total and begin is None:
+            begin, most = i, 0
+        most = max(most, total)
+        if not total and begin is not None:
+            found.append((most, begin, i - 1))  # the window before this one had weight in its first line alone
+            begin = None
+        total -= weights[i] if i < len(weights) else 0
+    least = min(surge, max((m for m, _, _ in found), default=0))
+    spans = [(a, z) for m, a, z in found if m >= least]
+    return [(next(i for i in range(a, z + 1) if weights[i]), z) for a, z in (spans if least == surge else spans[:1])]
+
+
 def main_text(page: str | None) -> str:
-    found = lines(page or "")
-    inside, borders = [], []
-    for x in found:  # borders between two lines outside boilerplate part nothing
+    found, borders = [], 0
+    for x in lines(page or ""):  # borders between two lines outside boilerplate part nothing
         if x is _BORDER:
-            borders.append(x)
+            borders += 1
             continue
-        if x[2] or not inside or inside[-1][2]:
-            inside += borders
-        borders = []
-        inside.append(x)
-    found = inside
-    solid = [x for x in found if x is not _BORDER and not x[2]]
-    tagged, whole = sum(len(x[0]) for x in solid if x[3]), sum(len(x[0]) for x in solid if x[3] or 2 * x[1] <= len(x[0]))
-    marked = tagged > 0 and 2 * tagged >= whole
-    weights = []
-    for x in found:
-        if x is _BORDER or x[2]:
-            weights.append(0)
-        elif marked and x[3]:
-            weights.append(LEAST * len(x[0]))
-        else:
-            weights.append(0 if 2 * x[1] > len(x[0]) else len(x[0]) * (1 if marked else PLAIN))
-    sums = [sum(weights[i : i + WIDTH]) for i in range(len(weights))]
-    regions, surge = [], None
-    for i, s in enumerate([*sums, 0]):
-        if s and surge is None:
-            surge = i
-        elif not s and surge is not None:
-            regions.append((surge, i, sum(weights[surge:i])))
-            surge = None
-    least = min(LEAST, max((w for _, _, w in regions), default=0))
-    kept = []
-    for a, z, w in regions:
-        if w >= least:
-            heavy = [i for i in range(a, z) if weights[i]]
-            kept += [found[i][0] for i in range(heavy[0], heavy[-1] + 1) if found[i] is not _BORDER and not found[i][2]]
-    return "\n".join(kept)
+        if x.off or not found or found[-1] is None or found[-1].off:
+            found += [None] * min(borders, WIDTH)
+        borders = 0
+        found.append(x)
+    inside = [x for x in found if x and not x.off]
+    linked = lambda x: 2 * x.links > len(x.text) and not x.prose
+    tagged, whole = sum(len(x.text) for x in inside if x.marked), sum(len(x.text) for x in inside if x.marked or not linked(x))
+    plain = 1 if 2 * tagged >= whole else PLAIN
+
+    def weight(x: Line | None) -> int:
+        if x is None or x.off:
+            return 0
+        return len(x.text) * SURGE if x.marked else 0 if linked(x) else len(x.text) * plain
+
+    kept = regions([weight(x) for x in found])
+    return "\n".join(x.text for a, z in kept for x in found[a : z + 1] if x and not x.off)
 
 
 def extracted(pages: DataFrame, html_col: str = "html") -> DataFrame:

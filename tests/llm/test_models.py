@@ -205,3 +205,56 @@ def test_html_keeps_linked_lines_and_wrapped_parts():
     assert html_text.main_text(page).split("\n") == ["A short lead of its own.", long, "a source that is all link", "a source that is all link", long, "1", "The short end."]
     menu = "".join(f"<li><a>menu item {i}</a></li>" for i in range(5))
     assert html_text.main_text(f"<body><div><ul>{menu}</ul></div><div><p>{long}</p></div><div><ul>{menu}</ul></div></body>") == long
+
+
+def test_html_drops_no_article_text():
+    """Class names are read whole, tags in values are no markup, and what stands in an article stays."""
+    main, long = html_text.main_text, ("word " * 60).strip()
+    assert main('<article><div class="post-header"><h1>Title</h1></div><p>Body.</p></article>') == "Title\nBody."
+    assert main(f'<body><div id="share-price-history"><h2>Prices</h2><p>{long}</p></div></body>') == f"Prices\n{long}"
+    assert main(f"<body><div><p>{long}</p></div><div></div><div></div><div><p>The end.</p></div></body>") == f"{long}\nThe end."
+    linked = '<p>See <a href="x">a long source that all of this paragraph is</a>.</p>'
+    assert main(f"<body><div><p>{long}</p>{linked}<p>{long}</p>{linked}</div></body>").split("\n")[1::2] == ["See a long source that all of this paragraph is."] * 2
+    assert main(f"<body><main><p>tiny</p></main><nav><a>n</a></nav><div><p>{long}</p></div></body>") == f"tiny\n{long}"
+    assert main("<article><p title=it's>one</p><p title='a > b' data-class=nav>two</p><p title=\"<nav>\">three</p></article>") == "one\ntwo\nthree"
+    assert main(f'<form id="whole"><article><p>{long}</p><form>Name</form></article><p>Go</p></form>') == long
+    for name in ("sidebar-left", "site-footer", "main-nav", "cookie-notice", "ad-slot", "entry-comments", "ad-300x250", "page-header"):
+        assert main(f'<body><div class="{name}"><p>{long} away</p></div><div class="post"><p>{long}</p></div></body>') == long, name
+    assert main("a < b &lt;p&gt; <3") == "a < b <p> <3"
+
+
+def test_html_windows_match_brute_force():
+    """Surge and dive by adding up every window."""
+    r = random.Random(10)
+    for _ in range(3000):
+        w = [r.choice([0, 0, 0, 1, 30, 90, 150, 400]) for _ in range(r.randrange(0, 25))]
+        width, surge = r.choice([1, 2, 3, 4]), r.choice([50, 200, 500])
+        sums = [sum(w[i : i + width]) for i in range(len(w))]
+        runs, i = [], 0
+        while i < len(w):
+            j = i
+            while j < len(w) and sums[j]:
+                j += 1
+            if j > i:
+                lines = [k for k in range(i, j) if w[k]]
+                runs.append((max(sums[i:j]), lines[0], lines[-1]))
+            i = j + 1
+        want = [(a, z) for m, a, z in runs if m >= surge] or [(a, z) for m, a, z in runs if m == max(x for x, _, _ in runs)][:1]
+        assert html_text.regions(w, surge, width) == want
+
+
+def test_html_windows_decide_without_tags():
+    """Plain containers: what has too little text in any window goes, though no name tells."""
+    long = ("word " * 60).strip()
+    stub = '<nav><a href="/">x</a></nav><div><span>(c) me</span></div>'
+    assert html_text.main_text(f"<body><div>Log in</div><nav>m</nav><div><p>{long}</p></div>{stub}</body>") == long
+    assert html_text.main_text(f"<body>{stub}</body>") == "(c) me"
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<div>" * 200_000 + "</li>" * 2_000, "<li>" + "<div>" * 100_000 + "</li>" * 100_000, '<p title="x' * 100_000, "<head>" * 170_000, "<script>" * 120_000, "<" * 1_000_000, "<p " + "a=" * 500_000, "<p class" + " " * 900_000 + "=a>x", "<b>x" * 200_000, "<p><div>" * 100_000 + "</p>" * 50_000])
+def test_html_time_grows_with_the_length(page):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 4  # about half a second; a scan in the square of the length takes minutes
