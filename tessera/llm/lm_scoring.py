@@ -17,7 +17,8 @@ blocks' counts and answers each block in the order it asked, so the model is nev
 and each block gets just its own part of the automaton.  No n-gram is pruned.  A block sends at most
 one message to a range and none without names, so messages never outnumber the n-grams asked for.
 Names of two tokens and more keep NAME_BITS more bits than it takes to count the training tokens, so
-the chance that a name stands for two n-grams is the same at every size, about 2 in 2**NAME_BITS.
+the chance that a name stands for two n-grams is the same at every size, about 1 in 2**NAME_BITS;
+single tokens are told apart by 64 bits.
 
 Cases.  Null text counts as empty: one token, the end.  A null id is held out.  Rows that repeat an
 id count and are scored each.  An empty training set gives every token the unknown token's share.
@@ -41,7 +42,7 @@ ORDER = 3
 SCALES, POWER = {2: 8.0, 3: 2.0}, 0.7
 BLOCK_BYTES = 10 << 20
 SHARD_TOKENS = 2_500_000  # of the corpus, for each range of names
-NAME_BITS = 18
+NAME_BITS = 14
 END, START = (int(x) for x in common.hashes([b"", b" start"]))  # no word is empty or holds a space
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,34 +74,34 @@ def _grams(tok: np.ndarray, sizes: np.ndarray, bits: int) -> Iterator[tuple[np.n
 
 
 def _zipped(x: np.ndarray) -> bytes:
-    raw = np.ascontiguousarray(x).tobytes()
+    """Unsigned numbers byte by byte, the lowest bytes of all first: upper bytes are mostly alike, which compresses well."""
+    raw = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _unzipped(b: bytes) -> bytes:
-    return pa.decompress(b[8:], int.from_bytes(b[:8], "little"), "zstd", asbytes=True)
-
-
 def _least_type(x: np.ndarray) -> np.ndarray:
     top = int(x.max(initial=0))
-    return x.astype("<u1" if top < 256 else "<u2" if top < 65536 else "<u4" if top < 2**32 else "<u8")
+    return np.ascontiguousarray(x).astype("<u1" if top < 256 else "<u2" if top < 65536 else "<u4" if top < 2**32 else "<u8")
 
 
 def _numbers(b: bytes, n: int) -> np.ndarray:
-    raw = _unzipped(b)
-    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+    if not n:
+        return np.empty(0, np.int64)
+    size = int.from_bytes(b[:8], "little")
+    raw = pa.decompress(b[8:], size, "zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(size // n, n).T.copy().view(f"<u{size // n}").ravel().astype(np.int64)
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted names as gaps, byte by byte: the upper bytes are mostly zeros, which compression drops."""
-    return _zipped(np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    """Sorted names as gaps."""
+    return _zipped(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked(b: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(_unzipped(b), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(_numbers(b, int.from_bytes(b[:8], "little") // 8).view(np.uint64), dtype=np.uint64)
 
 
-_BLOCK = "block long, ids array<bigint>, held array<boolean>, sizes array<bigint>, vocab binary, tokens binary"
+_BLOCK = "block long, ids array<bigint>, held array<boolean>, sizes array<bigint>, vocab binary, times binary, tokens binary"
 
 
 def blocks_of(rows: DataFrame) -> DataFrame:
@@ -110,10 +111,12 @@ def blocks_of(rows: DataFrame) -> DataFrame:
         name, some, size = TaskContext.get().partitionId() << 32, [], 0
 
         def block() -> pa.RecordBatch:
-            vocab, place = np.unique(np.concatenate([x for _, _, x in some]), return_inverse=True)
+            names, place, times = np.unique(np.concatenate([x for _, _, x in some]), return_inverse=True, return_counts=True)
+            rank = np.empty(len(names), np.int64)  # frequent tokens get the small numbers
+            rank[np.argsort(-times, kind="stable")] = np.arange(len(names))
             lists = [[i for i, _, _ in some]], [[h for _, h, _ in some]], [[len(x) for _, _, x in some]]
             kinds = pa.int64(), pa.bool_(), pa.int64()
-            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds)], pa.array([_packed(vocab)], pa.binary()), pa.array([_zipped(_least_type(place))], pa.binary())], names=["block", "ids", "held", "sizes", "vocab", "tokens"])
+            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds)], pa.array([_packed(names)], pa.binary()), pa.array([_zipped(_least_type(times))], pa.binary()), pa.array([_zipped(_least_type(rank[place]))], pa.binary())], names=["block", "ids", "held", "sizes", "vocab", "times", "tokens"])
 
         end = np.array([END], np.uint64)
         for batch in batches:
@@ -131,9 +134,10 @@ def blocks_of(rows: DataFrame) -> DataFrame:
 
 
 def _opened(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct names, place of each token in them, sizes of texts, whether each token is for training)."""
-    sizes = np.array(block["sizes"], np.int64)
-    return _unpacked(block["vocab"]), _numbers(block["tokens"], int(sizes.sum())), sizes, np.repeat(~np.array(block["held"], bool), sizes)
+    """(distinct names, frequent ones first, place of each token in them, sizes of texts, whether each token is for training)."""
+    sizes, names = np.array(block["sizes"], np.int64), _unpacked(block["vocab"])
+    names = names[np.argsort(-_numbers(block["times"], len(names)), kind="stable")]
+    return names, _numbers(block["tokens"], int(sizes.sum())), sizes, np.repeat(~np.array(block["held"], bool), sizes)
 
 
 def _messages(block: dict, shards: int, bits: int) -> Iterator[tuple]:
@@ -168,7 +172,7 @@ def asked(blocks: DataFrame, shards: int, bits: int) -> DataFrame:
                 for j in range(0, len(rows), 512):
                     yield _table(rows[j : j + 512], *_ASKED)
 
-    return blocks.select("block", "held", "sizes", "vocab", "tokens").mapInArrow(run, "shard long, block long, keys array<binary>, counts array<binary>")
+    return blocks.drop("ids").mapInArrow(run, "shard long, block long, keys array<binary>, counts array<binary>")
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -220,15 +224,13 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for i in range(batch.num_rows):
                 vocab, place, _, learn = _opened(batch.slice(i, 1).to_pylist()[0])
-                counts = np.bincount(place[learn], minlength=len(vocab))
-                yield pa.RecordBatch.from_arrays([pa.array(vocab[counts > 0].view(np.int64)), pa.array(counts[counts > 0])], names=["name", "c"])
-
-    seen = blocks.select("held", "sizes", "vocab", "tokens").mapInArrow(words, "name long, c long").groupBy("name").agg(F.sum("c").alias("c"))
-    end = int(np.uint64(END).astype(np.int64))
-    n, v, ends = (x or 0 for x in seen.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.when(F.col("name") == end, F.col("c")))).first())
-    bits = min(64, max(40, NAME_BITS + n.bit_length()))
-    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    shards = max(1, -(-tokens // SHARD_TOKENS))
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(vocab[place[learn]]).view(np.int64))], names=["name"])
+
+    v = blocks.drop("block", "ids").mapInArrow(words, "name long").distinct().count()
+    summed = lambda x: F.coalesce(F.sum(F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + y)), F.lit(0))
+    learnt = F.filter("sizes", lambda _, i: ~F.get("held", i))
+    tokens, n, ends = blocks.agg(summed("sizes"), summed(learnt), F.coalesce(F.sum(F.size(learnt)), F.lit(0))).first()
+    bits, shards = min(64, max(40, NAME_BITS + n.bit_length())), max(1, -(-tokens // SHARD_TOKENS))
 
     def walk(texts: pa.Table, answers: pa.Table) -> pa.Table:
         found, got = [], answers.to_pylist()
