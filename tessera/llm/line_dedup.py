@@ -59,10 +59,11 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     wide = wide.select("doc_id", "key", F.explode(F.flatten(F.transform(F.filter("all", lambda x: x["words"] >= min_words), runs))).alias("x"))
     wide = wide.select("doc_id", "key", "x.i", "x.gram", F.col("x.f.o").alias("mark"), F.struct(F.col("key"), F.col("x.f.p")).alias("spot"), "x.at")
     wide = common.cut(wide)
-    shared = wide.groupBy("mark").agg(F.min("spot").alias("a"), F.max("spot").alias("z")).where("a <> z").select("mark")
-    some = wide.join(shared, "mark", "left_semi")
+    # Written tables of unique keys on the right: a frequent mark or run then is a skewed partition of the left side alone, which can be split.
+    shared = common.cut(wide.groupBy("mark").agg(F.min("spot").alias("a"), F.max("spot").alias("z")).where("a <> z").select("mark"))
+    some = common.semi(wide, shared, ["mark"])
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("i").alias("i"))
-    firsts = some.groupBy("gram").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("times")).where("times > 1").select("gram", "o")
+    firsts = common.cut(some.groupBy("gram").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("times")).where("times > 1").select("gram", "o"))
     hits = some.join(firsts, "gram").where((F.col("key") != F.col("o.k")) | (F.col("i") != F.col("o.i")))
     gone = hits.select("key", F.explode("at").alias("line")).distinct()
     return gone.groupBy("key").agg(F.sort_array(F.collect_list("line")).alias("removed"))
