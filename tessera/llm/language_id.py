@@ -190,7 +190,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
                     letters[script_of(w)] += n_letters(w) * c
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([counts[:SIZE].astype("<f4").tobytes()], pa.binary()), pa.array([letters.tobytes()], pa.binary())], names=["lang", "counts", "letters"])
 
-    found = rows.select("text", "lang").coalesce(8).mapInArrow(run, "lang string, counts binary, letters binary").collect()  # 8 rows a language at most
+    found = rows.select("text", "lang").repartition(8).mapInArrow(run, "lang string, counts binary, letters binary").collect()  # the sample alone is dealt out; 8 rows a language at most
     langs = sorted({r["lang"] for r in found})
     if not langs:
         return None
