@@ -27,11 +27,11 @@ FAN = 32
 SEED = 20240607
 
 
-def _targets(units: DataFrame, max_copies: int, cycle: int) -> DataFrame:
-    """(source, source_size, target, ratio) by repeated sharing; each round settles one source at least."""
+def _targets(units: DataFrame, max_copies: int, cycle: int) -> tuple[DataFrame, int]:
+    """(source, source_size, target, ratio) by repeated sharing, and the number of sources; each round settles one source at least."""
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     order = [F.col("source").isNull().cast("int"), F.encode("source", "UTF-8")]
-    sources, _ = common.ranked(sources, order, "rank")
+    sources, found = common.ranked(sources, order, "rank")
     sources = common.cut(sources.select("source", "source_size", (F.col("rank") % cycle + 1).cast("double").alias("weight")))
     cap = F.col("source_size") * max_copies
     whole = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -45,7 +45,7 @@ def _targets(units: DataFrame, max_copies: int, cycle: int) -> DataFrame:
             break
         level = rise
     target = F.least(cap.cast("double"), F.col("weight") * F.lit(max(level, 0.0)))
-    return sources.select("source", "source_size", target.alias("target")).withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
+    return sources.select("source", "source_size", target.alias("target")).withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))), found
 
 
 _ITEM = "struct<id:binary,s:bigint,p:double>"
@@ -86,9 +86,11 @@ def _rounded(items: DataFrame) -> DataFrame:
     items = common.cut(items)
     out, level = [], 0
     sizes = common.cut(items.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
-    most = sizes.agg(F.max("n")).first()[0] or 0
+    most, sources = sizes.agg(F.max("n"), F.count(F.lit(1))).first()
+    most = most or 0
     while True:
         groups = F.ceil(F.col("n") / FAN)
+        sizes = common.hinted(sizes, sources)  # one row a source: a source with most rows is not gathered for it
         dealt = items.join(sizes, items["source"].eqNullSafe(sizes["source"])).select(items["source"], "id", "s", "p", F.pmod(F.xxhash64(F.lit(SEED + level), "id"), groups).alias("g"))
         met = dealt.groupBy("source", "g").agg(F.array_sort(F.collect_list(F.struct("id", "s", "p"))).alias("items"))
         met = common.cut(met.select("source", _settle(F.col("items"), SEED + level).alias("r")))
@@ -113,8 +115,9 @@ def copies(docs: DataFrame, max_copies: int = 3, cycle: int = 3) -> DataFrame:
     """One row for each unit of doc_id, source and text: id (its digest), rows, size, source_size, target, copies."""
     units = _units(docs).groupBy("id").agg(F.first("doc_id").alias("doc_id"), F.first("source").alias("source"), F.first("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     units = common.cut(units)
-    targets = common.cut(_targets(units, max_copies, cycle))
-    named = units.join(targets.withColumnRenamed("source", "src"), F.col("source").eqNullSafe(F.col("src"))).drop("src")
+    targets, sources = _targets(units, max_copies, cycle)
+    targets = common.hinted(common.cut(targets).withColumnRenamed("source", "src"), sources)
+    named = units.join(targets, F.col("source").eqNullSafe(F.col("src"))).drop("src")
     part = F.col("ratio") - F.floor("ratio")
     items = named.where((F.col("size") > 0) & (part > 0)).select("source", "id", (F.col("size") * F.col("rows")).alias("s"), part.alias("p"))
     up = _rounded(items)

@@ -221,6 +221,52 @@ def test_pivot_keeps_expectations(spark):
         assert abs(seen[i] / runs - items[i][2]) < 0.15
 
 
+def test_pivot_matches_brute_force(spark):
+    """The fold over a group by plain arithmetic, with Spark's draws as the only shared part."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(13)
+    for seed in range(4):
+        items = [(bytes([seed, i]) * 8, r.randrange(1, 50), r.uniform(0.01, 0.99)) for i in range(14)]
+        base = spark.createDataFrame([(items,)], "items array<struct<id:binary,s:bigint,p:double>>")
+        got = base.select(mixing._settle(F.col("items"), seed).alias("r")).first()["r"]
+        pairs = spark.createDataFrame([(a[0], b[0]) for a in items for b in items], "a binary, b binary")
+        draws = {(bytes(x.a), bytes(x.b)): x.u for x in pairs.select("a", "b", (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "a", "b"), 11) * F.lit(2.0**-53)).alias("u")).collect()}
+        cur, done = list(items[0]), {}
+        for x in map(list, items[1:]):
+            gain, loss = min(cur[1] * (1 - cur[2]), x[1] * x[2]), min(cur[1] * cur[2], x[1] * (1 - x[2]))
+            move = gain if draws[(cur[0], x[0])] * (gain + loss) < loss else -loss  # words from x to cur, so that neither's expectation changes
+            cur_ends = cur[1] * (1 - cur[2]) <= x[1] * x[2] if move > 0 else cur[1] * cur[2] <= x[1] * (1 - x[2])
+            cur[2] += move / cur[1]
+            x[2] -= move / x[1]
+            gone, cur = (cur, x) if cur_ends else (x, cur)
+            assert min(abs(gone[2]), abs(1 - gone[2])) < 1e-9
+            done[gone[0]] = gone[2] > 0.5
+        assert {bytes(d["id"]): d["up"] for d in got["done"]} == done
+        assert bytes(got["cur"]["id"]) == cur[0] and abs(got["cur"]["p"] - cur[2]) < 1e-9
+
+
+def test_mix_targets_match_brute_force(spark):
+    """Shares by weight, cut off at three times a source and shared again, one source at a time."""
+    r = random.Random(14)
+    for _ in range(3):
+        sizes = {s: r.choice([0, 1, 5, 40, 300, 2000]) for s in r.sample(["a", "B", "c", "é", "", "zz", "0", None], 6)}
+        docs = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())], "doc_id long, text string, source string")
+        order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+        weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+        total, stopped = sum(sizes.values()), {}
+        while True:
+            free = [s for s in order if s not in stopped]
+            unit = (total - sum(stopped.values())) / (sum(weight[s] for s in free) or 1)
+            over = [s for s in free if weight[s] * unit > 3 * sizes[s]]
+            if not over:
+                break
+            stopped |= {s: 3 * sizes[s] for s in over}
+        want = {s: stopped.get(s, weight[s] * unit) for s in order}
+        got = {x.source: x.target for x in mixing.copies(docs).collect()}
+        assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
+
+
 def test_mix_odd_rows(odd, empty):
     out = mixing.mixed(odd)
     assert out.columns == odd.columns and out.where("text is null").count() == 0
