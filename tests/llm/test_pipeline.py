@@ -1,7 +1,11 @@
 import os
+import random
+from collections import Counter
 
 import pytest
 
+from .test_exact import brute_components, shingles
+
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 DATA = "/root/testdata/sf0.001"
 
@@ -25,9 +29,59 @@ def test_stage_names_and_columns(spark, tmp_path):
     assert sorted(r.doc_id for r in whole) == sorted(r.doc_id for r in rows)
 
 
+def test_pipeline_matches_brute_force(spark, tmp_path):
+    """Every stage's rows on a small corpus: groups and leaks by comparing all pairs, toxic words by looking, the mix and the shards by counting."""
+    r = random.Random(21)
+    say = lambda n: [f"w{int(3000 * r.random() ** 2)}" for _ in range(n)]
+    items = [" ".join(say(r.randrange(8, 30))) for _ in range(6)]
+    texts, bad = [], set()
+    for i in range(420):
+        w = say(r.randrange(20, 60))
+        if i % 4 == 0:
+            w[5:5] = ["scum"]
+            bad.add(i)
+        elif i % 7 == 0:
+            w[9:9] = r.choice(items).upper().split()
+        elif i % 5 == 0 and texts:
+            w = texts[r.randrange(len(texts))][1].split()
+            w[r.randrange(len(w))] = "edited"
+        texts.append((i, " ".join(w), r.choice(["a", "b", None])))
+    bad |= {i for i, t, _ in texts if "scum" in t.split()}
+    d = str(tmp_path)
+    spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in texts], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in bad)) for i, _, _ in texts if i % 3], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{d}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, d).write.parquet(f"{d}/{i}")
+        docs = spark.read.parquet(f"{d}/{i}")
+        kept.append(docs.collect())
+    text = {i: t for i, t, _ in texts}
+    assert {x.doc_id for x in kept[0]} == set(text) - bad
+    group, _ = brute_components([(x.doc_id, x.text) for x in kept[0]], 5, 80, 100)
+    assert {x.doc_id for x in kept[1]} == {i for i, c in group.items() if i == c} and len(kept[1]) < len(kept[0])
+    sets = [shingles(t, 5) for t in items]
+    clean = {x.doc_id for x in kept[1] if not any(100 * len(s & shingles(x.text, 5)) >= 80 * len(s) for s in sets)}
+    assert {x.doc_id for x in kept[2]} == clean and len(clean) < len(kept[1])
+    times, words = Counter(x.doc_id for x in kept[3]), {x.doc_id: len(x.text.split()) for x in kept[2]}
+    source = {x.doc_id: x.source for x in kept[2]}
+    total, size = sum(words.values()), Counter()
+    for i, n in words.items():
+        size[source[i]] += n
+    for s, weight in (("a", 1), ("b", 2), (None, 3)):
+        taken = sum(words[i] * times[i] for i in words if source[i] == s)
+        assert abs(taken - total * weight / 6) <= max(n for i, n in words.items() if source[i] == s) and total * weight / 6 < 3 * size[s]
+    assert Counter((x.doc_id, x.text, x.source) for x in kept[4]) == Counter((x.doc_id, x.text, x.source) for x in kept[3])
+    shards = Counter(x.shard for x in kept[4])
+    assert max(shards.values()) - min(shards.values()) <= 1 and len({(x.shard, x.slot) for x in kept[4]}) == len(kept[4])
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="sample tables")
 def test_pipeline_on_odd_and_empty_rows(spark, odd, empty):
-    for docs in (odd, empty):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, DATA).cache()
-            docs.count()
+    for docs, left in ((odd, 10), (empty, 0)):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            before, docs = docs, stage(spark, docs, DATA).cache()
+            assert set(docs.columns) == set(before.columns) | ({"shard", "slot"} if i == 4 else set())
+            if i < 3:
+                assert docs.count() == (left if i else before.count())
+        assert docs.where("text is null or text in ('', 'short') and doc_id <> 8").count() == 0 and docs.count() >= min(left, 5)
