@@ -38,12 +38,18 @@ BATCH, START, RATE_W, RATE_V, L1_W, L1_V, FIRST = 128, 0.05, 0.3, 0.1, 1.0, 1.0,
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
-def _terms(word: str) -> tuple[int, ...]:
-    w = _EDGE.sub("", word)
-    if not w:
-        return ()
-    names = {w, "4" + w[:4] if len(w) >= 4 else w, "5" + w[:5] if len(w) >= 5 else w}
-    return tuple(int(x) >> (64 - BITS) for x in common.hashes([x.encode("utf-8", "surrogatepass") for x in sorted(names)]))
+def _hashed(words: list[str]) -> np.ndarray:
+    """A row of three terms for each word: itself, its first four and its first five characters; words without a letter or digit have none and get -1."""
+    names, none = [], []
+    for i, word in enumerate(words):
+        w = word if word.isalnum() else _EDGE.sub("", word)
+        if not w:
+            none.append(i)
+        b = w.encode("utf-8", "surrogatepass")
+        names += b, b"4" + w[:4].encode("utf-8", "surrogatepass") if len(w) >= 4 else b, b"5" + w[:5].encode("utf-8", "surrogatepass") if len(w) >= 5 else b
+    out = (common.hashes(names) >> np.uint64(64 - BITS)).astype(np.int64).reshape(-1, 3)
+    out[none] = -1
+    return out
 
 
 def _words(text: str | None) -> set[str]:
@@ -57,19 +63,18 @@ class Machine:
         self.place, self.bias, self.w, self.v = {int(t): i for i, t in enumerate(terms)}, bias, w, v
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def kept(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 400_000:
-                self.known.clear()
-            found = self.known[word] = tuple(self.place[t] for t in _terms(word) if t in self.place)
-        return found
+    def kept(self, words: set[str]) -> set[int]:
+        """Places of the words' kept terms."""
+        if len(self.known) > 400_000:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        if new:
+            get = self.place.get
+            self.known.update(zip(new, [tuple({p for p in map(get, r) if p is not None}) for r in _hashed(new).tolist()]))
+        return {p for w in words for p in self.known[w]}
 
     def score(self, text: str | None) -> float:
-        at: set[int] = set()
-        for word in _words(text):
-            at.update(self.kept(word))
-        x = self.bias
+        at, x = self.kept(_words(text)), self.bias
         if at:
             i = np.fromiter(sorted(at), np.int64, len(at))
             v = self.v[i]
@@ -88,42 +93,49 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
     place = np.full(1 << BITS, -1, np.int32)
     place[keep] = np.arange(len(keep))
     noise = np.sqrt(labels.mean() * (1 - labels.mean()) / seen[keep])  # of a term's mean gradient, a row
-    for i, r in enumerate(rows):
-        k = place[r]
-        rows[i] = k[k >= 0]
     p = labels.mean()
     rng = np.random.RandomState(seed)
-    w, v, b = np.zeros(len(keep)), rng.normal(0, START, (len(keep), FACTORS)), float(np.log(p / (1 - p)))
-    gw, gv, gb = np.ones(len(w)), np.ones(v.shape), 1.0
-    order = np.arange(len(rows))
+    order = rng.permutation(len(rows))
+    batches = []
+    for s in range(0, len(order), BATCH):
+        some = order[s : s + BATCH]
+        parts = []
+        for i in some:  # every row ends with a term past the last, which has no weight, so that none is empty
+            k = place[rows[i]]
+            parts.append(np.append(k[k >= 0], len(keep)))
+            rows[i] = None
+        sizes = np.array([len(x) for x in parts])
+        uniq, inv, m = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        doc = np.repeat(np.arange(len(some), dtype=np.uint8), sizes)[np.argsort(inv, kind="stable")]  # the rows of each term in turn
+        batches.append((labels[some], np.cumsum(sizes) - sizes, uniq.astype(np.int32), inv.astype(np.int32), doc, m, np.cumsum(m) - m))
+    w, v, b = np.zeros(len(keep) + 1), rng.normal(0, START, (FACTORS, len(keep) + 1)), float(np.log(p / (1 - p)))
+    v[:, -1], noise = 0, np.append(noise, 0)
+    gw, gv, gb = np.ones(len(w)), np.ones(len(w)), 1.0
     for epoch in range(EPOCHS):
-        rng.shuffle(order)
-        for s in range(0, len(order), BATCH):
-            some = order[s : s + BATCH]
-            parts = [rows[i] for i in some]
-            doc = np.repeat(np.arange(len(some)), [len(x) for x in parts])
-            uniq, inv = np.unique(np.concatenate(parts), return_inverse=True)
-            vu, n = v[uniq], len(some)
-            sums = np.stack([np.bincount(doc, vu[:, f][inv], n) for f in range(FACTORS)], 1)
-            x = b + np.bincount(doc, (w[uniq] - 0.5 * (vu**2).sum(axis=1))[inv], n) + 0.5 * (sums**2).sum(axis=1)
-            g = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - labels[some]
-            total, m = np.bincount(inv, g[doc], len(uniq)), np.bincount(inv, minlength=len(uniq))
-            dv = np.stack([np.bincount(inv, (g * sums[:, f])[doc], len(uniq)) for f in range(FACTORS)], 1) - total[:, None] * vu
-            least, scale = m * noise[uniq], np.sqrt((sums**2).sum(axis=1).mean())
-            gw[uniq] += total**2
-            gv[uniq] += dv**2
+        for at in rng.permutation(len(batches)):
+            marks, rows_at, uniq, inv, doc, m, terms_at = batches[at]
+            vu, mine = v[:, uniq], uniq[:-1]
+            sums = np.add.reduceat(vu[:, inv], rows_at, axis=1)
+            x = b + np.add.reduceat((w[uniq] - 0.5 * (vu**2).sum(axis=0))[inv], rows_at) + 0.5 * (sums**2).sum(axis=0)
+            g = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - marks
+            total = np.add.reduceat(g[doc], terms_at)
+            least, scale = (m * noise[uniq])[:-1], np.sqrt((sums**2).sum(axis=0).mean())
+            gw[mine] += total[:-1] ** 2
             gb += g.sum() ** 2
-            step = RATE_W / np.sqrt(gw[uniq])
-            wu = w[uniq] - step * total
-            w[uniq] = np.sign(wu) * np.maximum(np.abs(wu) - step * L1_W * least, 0)
+            step = RATE_W / np.sqrt(gw[mine])
+            wu = w[mine] - step * total[:-1]
+            w[mine] = np.sign(wu) * np.maximum(np.abs(wu) - step * L1_W * least, 0)
+            dv = (np.add.reduceat((g * sums)[:, doc], terms_at, axis=1) - total * vu)[:, :-1]
+            gv[mine] += (dv**2).mean(axis=0)
             if epoch >= FIRST:
-                step = RATE_V / np.sqrt(gv[uniq].mean(axis=1))[:, None]
-                vu = vu - step * dv
-                size = np.sqrt((vu**2).sum(axis=1))[:, None] + 1e-12
-                v[uniq] = vu * np.maximum(1 - step * L1_V * scale * least[:, None] / size, 0)
+                step = RATE_V / np.sqrt(gv[mine])
+                vu = vu[:, :-1] - step * dv
+                size = np.sqrt((vu**2).sum(axis=0)) + 1e-12
+                v[:, mine] = vu * np.maximum(1 - step * L1_V * scale * least / size, 0)
             b -= 0.1 * g.sum() / np.sqrt(gb)
+    w, v = w[:-1], v[:, :-1].T
     some = (w != 0) | v.any(axis=1)  # the others add nothing to any score
-    return keep[some], b, w[some], v[some]
+    return keep[some], b, w[some], np.ascontiguousarray(v[some])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> tuple | None:
@@ -138,19 +150,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
         marks = common.hinted(marks.where(below(share * sample_bytes / size)), min(count, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             out = []
             for text in batch.column(0):
-                at: set[int] = set()
-                for word in _words(text.as_py()):
-                    t = known.get(word)
-                    if t is None:
-                        t = known[word] = _terms(word)
-                    at.update(t)
-                out.append(np.array(sorted(at), "<u4").tobytes())
-            if len(known) > 400_000:
-                known.clear()
+                terms = np.unique(_hashed(list(_words(text.as_py()))))
+                out.append(terms[terms >= 0].astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], names=["terms", "toxic"])
 
     rows = docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
