@@ -158,6 +158,25 @@ def _jaro_winkler(a: bytes, b: bytes) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Jaro-Winkler over UTF-8 bytes, the prefix counted only above 0.7; null if either is."""
-    return pd.Series([None if x is None or y is None else _jaro_winkler(x.encode(), y.encode()) for x, y in zip(a, b)], dtype="float64")
+def _jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    known: dict = {}
+    out = []
+    for pair in zip(a, b):
+        if pair[0] is None or pair[1] is None:
+            out.append(None)
+            continue
+        if pair not in known:
+            known[pair] = _jaro_winkler(pair[0].encode(), pair[1].encode())
+        out.append(known[pair])
+    return pd.Series(out, dtype="float64")
+
+
+def jaro_winkler(a: Column | str, b: Column | str) -> Column:
+    """Jaro-Winkler over UTF-8 bytes, the prefix counted only above 0.7; null if either is.
+
+    Equal and empty strings are settled here; only others are sent to Python, and equal pairs of a batch are scored once.
+    """
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    open_ = (a != b) & (a != "") & (b != "")
+    settled = F.when(a.isNull() | b.isNull(), F.lit(None).cast("double")).when((a == b) & (a != ""), F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0))
+    return settled.otherwise(_jaro_winkler_udf(F.when(open_, a), F.when(open_, b)))

@@ -1,7 +1,9 @@
 """Candidate pairs of source-1 records and records of other sources.
 
 Every block is one or more equi-joins on country and key; none compares all records.  Results are
-distinct pairs with the name of the block.
+distinct pairs with the name of the block.  The join of a block has a plain exchange on both sides and
+another exchange after it, so Spark splits a key that most rows share over many tasks; such a key still
+gives all its pairs, as the definition asks, and quality.bucket_sizes() tells how large keys are.
 """
 
 from __future__ import annotations

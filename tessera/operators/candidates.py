@@ -53,12 +53,11 @@ def prune_medium(candidates: DataFrame, records: DataFrame, least: int = 3) -> D
     cols = ["name_norm", "name_compact", "address_tokens"]
     a = records.where("source = 'S1'").select(F.col("entity_id").alias("source1_entity_id"), *[F.col(c).alias(f"a_{c}") for c in cols])
     b = records.where("source <> 'S1'").select(F.col("entity_id").alias("matched_entity_id"), F.col("source").alias("matched_source"), *[F.col(c).alias(f"b_{c}") for c in cols])
-    sure = candidates.where("num_blocking_methods >= 2")
-    single = candidates.where("num_blocking_methods = 1 and blocking_methods in ('name', 'rare_address')")
-    same = F.expr("a_name_norm = b_name_norm or a_name_compact = b_name_compact")
-    near = (F.col("blocking_methods") == "rare_address") & (F.size(F.array_compact(F.array_intersect("a_address_tokens", "b_address_tokens"))) >= least)
-    kept = single.join(a, "source1_entity_id").join(b, ["matched_entity_id", "matched_source"]).where(F.coalesce(same, F.lit(False)) | near).select(*candidates.columns)
-    return sure.unionByName(kept)
+    same = F.coalesce(F.expr("a_name_norm = b_name_norm or a_name_compact = b_name_compact"), F.lit(False))
+    shared = F.size(F.array_compact(F.array_intersect("a_address_tokens", "b_address_tokens")))
+    method = F.col("blocking_methods")
+    kept = F.when(F.col("num_blocking_methods") >= 2, F.lit(True)).when(method == "name", same).when(method == "rare_address", same | F.coalesce(shared >= least, F.lit(False))).otherwise(F.lit(False))
+    return candidates.join(a, "source1_entity_id", "left").join(b, ["matched_entity_id", "matched_source"], "left").where(kept).select(*candidates.columns)
 
 
 def prune_provenance(parts: list[DataFrame]) -> DataFrame:

@@ -45,14 +45,22 @@ def token_stats(records: DataFrame, column: str = "name_tokens") -> DataFrame:
     return token_rows(records, column, 2).groupBy("source", "country_norm", "token").agg(F.count(F.lit(1)).alias("doc_frequency")).select("*", F.length("token").cast("long").alias("token_length"))
 
 
+#: Keys that may be sent to all tasks: those with more than this part of all rows, and so at most as many.
+FEW = 20_000
+
+
 def rare_tokens(rows: DataFrame, cap: int) -> DataFrame:
     """token_rows of tokens in at most cap records of a source and country, with token_freq.
 
-    Counts are combined before the shuffle, so a frequent token never gathers in one task.
+    Counts are combined before the shuffle.  Tokens above the cap that hold more than 1 / FEW of all rows, of which there
+    are at most FEW, are dropped before rows meet by token, so a frequent token never gathers in one task.
     """
     keys = ["source", "country_norm", "token"]
-    freq = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("token_freq")).where(F.col("token_freq") <= cap)
-    return rows.join(freq, keys).select("source", "entity_id", "country_norm", "token", "token_freq")
+    freq = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("token_freq"))
+    total = freq.agg(F.sum("token_freq").alias("_all"), F.lit(1).alias("_one"))
+    frequent = freq.where(F.col("token_freq") > cap).withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").where(F.col("token_freq") * FEW > F.col("_all"))
+    some = rows.join(F.broadcast(frequent.select(*keys)), keys, "left_anti")
+    return some.join(freq.where(F.col("token_freq") <= cap), keys).select("source", "entity_id", "country_norm", "token", "token_freq")
 
 
 def number_anchors(records: DataFrame, in_address: int = 4, in_name: int = 5) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources import io
+
 
 def result_lists(pairs: DataFrame, entities: DataFrame, column: str = "matched_entity_ids", by_source: bool = True) -> DataFrame:
     """One row for every source-1 record; ids by source and id, or by id alone; empty if none."""
@@ -19,29 +23,36 @@ def _exploded(lists: DataFrame) -> DataFrame:
 
 
 def validate(matches: DataFrame, candidates: DataFrame, entities: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """(check, failures) of every rule: coverage, repeats, prefixes, unknown ids, matches outside candidates."""
-    spark = matches.sparkSession
-    one = entities.select("source1_entity_id").distinct()
-    found: list[DataFrame] = []
-
-    def add(name: str, rows: DataFrame) -> None:
-        found.append(rows.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures"))
-
-    for what, lists in (("matches", matches), ("candidates", candidates)):
-        ids = _exploded(lists)
-        add(f"{what}: repeated record", lists.groupBy("source1_entity_id").count().where("count > 1"))
-        add(f"{what}: missing record", one.join(lists, "source1_entity_id", "left_anti"))
-        add(f"{what}: unknown record", lists.join(one, "source1_entity_id", "left_anti"))
-        add(f"{what}: repeated id", ids.groupBy("source1_entity_id", "id").count().where("count > 1"))
-        add(f"{what}: source-1 id", ids.where(F.col("id").startswith("S1-")))
-        add(f"{what}: bad prefix", ids.where(~F.col("id").rlike("^S[123]-")))
+    """(check, failures) of every rule: coverage, repeats, prefixes, unknown ids, matches outside candidates.
+
+    Both lists are written once; one aggregation counts their records, another their ids.
+    """
+    kinds = {"matches": io.kept(matches), "candidates": io.kept(candidates)}
+    n = lambda what, *cols: [F.lit(int(what == k)).alias(k) for k in cols]
+    rows = [kinds[k].select("source1_entity_id", *n(k, "matches", "candidates", "wanted")) for k in kinds]
+    rows.append(entities.select("source1_entity_id").distinct().select("*", *n("wanted", "matches", "candidates", "wanted")))
+    by_record = reduce(DataFrame.unionByName, rows).groupBy("source1_entity_id").agg(*[F.sum(c).alias(c) for c in ("matches", "candidates", "wanted")])
+    ids = reduce(DataFrame.unionByName, [_exploded(kinds[k]).select("source1_entity_id", "id", *n(k, "matches", "candidates")) for k in kinds])
+    by_id = ids.groupBy("source1_entity_id", "id").agg(F.sum("matches").alias("matches"), F.sum("candidates").alias("candidates"))
+    known = F.lit(True)
+    if targets is not None:
+        by_id = by_id.join(targets.select(F.col("entity_id").alias("id"), F.lit(True).alias("_known")).distinct(), "id", "left")
+        known = F.col("_known").isNotNull()
+    total = lambda cond, value: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+    record_checks, id_checks = [], []
+    for k in kinds:
+        c = F.col(k)
+        record_checks += [(f"{k}: repeated record", F.count_if(c > 1)), (f"{k}: missing record", F.count_if((c == 0) & (F.col("wanted") > 0))), (f"{k}: unknown record", total(F.col("wanted") == 0, c))]
+        id_checks += [(f"{k}: repeated id", F.count_if(c > 1)), (f"{k}: source-1 id", total(F.col("id").startswith("S1-"), c)), (f"{k}: bad prefix", total(~F.col("id").rlike("^S[123]-"), c))]
         if targets is not None:
-            add(f"{what}: unknown id", ids.join(targets.select(F.col("entity_id").alias("id")).distinct(), "id", "left_anti"))
-    add("matches outside candidates", _exploded(matches).distinct().join(_exploded(candidates).distinct(), ["source1_entity_id", "id"], "left_anti"))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out if spark else out
+            id_checks.append((f"{k}: unknown id", total(~known, c)))
+    id_checks.append(("matches outside candidates", F.count_if((F.col("matches") > 0) & (F.col("candidates") == 0))))
+
+    def listed(df: DataFrame, checks: list) -> DataFrame:
+        found = df.agg(*[e.alias(f"c{i}") for i, (_, e) in enumerate(checks)])
+        return found.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"c{i}").alias("failures")) for i, (name, _) in enumerate(checks)])))
+
+    return listed(by_record, record_checks).unionByName(listed(by_id, id_checks))
 
 
 def check_file(path: str, header: tuple[str, str]) -> list[str]:

@@ -134,7 +134,8 @@ class Context:
 
     @cached_property
     def stripped(self) -> DataFrame:
-        return rec.with_stripped(self.n)
+        """Records with all views, written once: blocks, pruning and features read their columns from there."""
+        return io.kept(rec.with_stripped(self.n))
 
     @cached_property
     def truth(self) -> DataFrame:
@@ -146,20 +147,20 @@ class Context:
         return r.where("source = 'S1'").select(F.col("entity_id").alias("source1_entity_id"))
 
     def parts(self) -> list[DataFrame]:
-        n = self.n
+        n = self.stripped
         return [blocking.exact(n, "address_norm", "address"), blocking.exact(n, "address_compact", "address_compact"), blocking.exact(n, "name_norm", "name"), blocking.rare_topk(n, "name_tokens", "rare_name", drop_numbers=True), blocking.rare_topk(n, "address_tokens", "rare_address")]
 
     @cached_property
     def union(self) -> DataFrame:
-        return candidates.union_provenance(self.parts())
+        return io.kept(candidates.union_provenance(self.parts()))
 
     @cached_property
     def pruned(self) -> DataFrame:
-        return candidates.prune_medium(self.union, self.n)
+        return candidates.prune_medium(self.union, self.stripped)
 
     @cached_property
     def expansion(self) -> DataFrame:
-        return candidates.union_provenance([blocking.rare_strict(self.n), blocking.core_name(self.stripped)])
+        return candidates.union_provenance([blocking.rare_strict(self.stripped), blocking.core_name(self.stripped)])
 
     @cached_property
     def features(self) -> DataFrame:

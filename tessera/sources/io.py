@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
+import tempfile
+import uuid
 from pathlib import Path
 
 import pyarrow as pa
@@ -32,18 +35,71 @@ def read_arrow(spark: SparkSession, table: pa.Table) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def write_parquet(df: DataFrame, path: str, codec: str = "zstd", partition_by: list[str] | None = None, rows_per_file: int = 0) -> None:
-    """Committed by rename, so readers never see half a table."""
-    out = df.write.mode("overwrite").option("compression", codec).option("maxRecordsPerFile", rows_per_file)
-    (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def write_tsv(df: DataFrame, path: str, files: int | None = None) -> None:
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished table new in the place of path: the old one steps aside by rename, then goes."""
+    (source, fs), (target, _), (old, _) = _folder(spark, new), _folder(spark, path), _folder(spark, f"{path}.old")
+    fs.delete(old, True)
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(source, target):
+        fs.rename(old, target)
+        raise OSError(f"{new} could not be renamed to {path}")
+    fs.delete(old, True)
+
+
+def write_parquet(df: DataFrame, path: str, codec: str = "zstd", partition_by: list[str] | None = None, rows_per_file: int = 0, row_group_bytes: int = 128 << 20) -> None:
+    """Written beside path and swapped in when it is whole, so a write that fails leaves the old table as it was."""
+    out = df.write.mode("overwrite").option("compression", codec).option("maxRecordsPerFile", rows_per_file).option("parquet.block.size", row_group_bytes)
+    (out.partitionBy(*partition_by) if partition_by else out).parquet(f"{path}.partial")
+    swap(df.sparkSession, f"{path}.partial", path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where all runs on this machine."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="stages-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: what several branches read is made once, by columns."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_tsv(df: DataFrame, path: str, files: int | None = None, header: bool = True) -> None:
     """Unquoted, with a header; one file if files is 1.  Tabs and line ends in values become spaces."""
     clean = [F.regexp_replace(c, r"[\t\r\n]+", " ").alias(c) if t == "string" else F.col(c) for c, t in df.dtypes]
     df = df.select(*clean)
     df = df.coalesce(files) if files else df
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="")
+    df.write.mode("overwrite").csv(path, sep="\t", header=header, quote="", emptyValue="", nullValue="")
+
+
+def write_tsv_file(df: DataFrame, path: str, parts: int = 4) -> None:
+    """One file with a header, made of `parts` partitions by the first column: each is sorted and written alone, then
+    their bytes are put one after another, so that no task or driver holds the table."""
+    spark = df.sparkSession
+    write_tsv(df.repartition(parts, df.columns[0]).sortWithinPartitions(df.columns[0]), f"{path}.parts", header=False)
+    (folder, fs), (partial, _), (target, _) = _folder(spark, f"{path}.parts"), _folder(spark, f"{path}.partial"), _folder(spark, path)
+    out = fs.create(partial, True)
+    out.write(bytearray(("\t".join(df.columns) + "\n").encode()))
+    for name in sorted(str(f.getPath()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")):
+        part = fs.open(_folder(spark, name)[0])
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+        part.close()
+    out.close()
+    fs.delete(target, True)
+    fs.rename(partial, target)
+    fs.delete(folder, True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -74,6 +130,14 @@ def read_json(path: str):
     return json.loads(Path(path).read_text())
 
 
+def resolve_file(name: str, *folders: str) -> Path:
+    """The file or table of that name in the first folder that has it."""
+    for folder in folders:
+        if (found := Path(folder) / name).exists():
+            return found
+    raise FileNotFoundError(f"{name} in none of {', '.join(map(str, folders))}")
+
+
 def resolve_column(columns: list[str], candidates: list[str], required: bool = True) -> str | None:
     """The first candidate among the columns, whatever its case."""
     by = {c.lower(): c for c in columns}
@@ -94,11 +158,18 @@ def canonical_source(c):
     return out
 
 
-def ground_truth(lists: DataFrame) -> DataFrame:
-    """Pairs of a table with comma-separated matches; ids are trimmed, empty ones dropped."""
+def ground_truth(lists: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """Pairs of a table with comma-separated matches; ids are trimmed, empty ones dropped.
+
+    The source is that of the target record (targets: entity_id, source) or, without targets, the id's prefix; ids that
+    no target has are left out.
+    """
     ids = lists.select("source1_entity_id", F.explode(F.split(F.coalesce("matched_entity_ids", F.lit("")), ",")).alias("m"))
     ids = ids.select("source1_entity_id", F.trim("m").alias("matched_entity_id")).where("matched_entity_id <> ''")
-    return ids.withColumn("matched_source", F.substring("matched_entity_id", 1, 2)).distinct()
+    if targets is None:
+        return ids.withColumn("matched_source", F.substring("matched_entity_id", 1, 2)).distinct()
+    known = targets.select(F.col("entity_id").alias("matched_entity_id"), F.col("source").alias("matched_source"))
+    return ids.join(known, "matched_entity_id").select(*PAIR).distinct()
 
 
 def _entity_id():
