@@ -48,6 +48,49 @@ def union_provenance(parts: list[DataFrame], count: str = "bits") -> DataFrame:
     return g.select(*PAIR, "blocking_mask", n.cast("tinyint").alias("num_blocking_methods"), m.alias("blocking_methods"))
 
 
+def union_set(blocks: dict[str, DataFrame], name: str = "all") -> DataFrame:
+    """The union of the blocks of a named set (SETS)."""
+    missing = [b for b in SETS[name] if b not in blocks]
+    if missing:
+        raise ValueError(f"set {name} needs the blocks {missing}")
+    return union_provenance([blocks[b] for b in SETS[name]])
+
+
+def pool(base: DataFrame, blocks: dict[str, DataFrame], methods: list[str]) -> DataFrame:
+    """Base pairs and the new ones of the chosen methods; a pair that several methods add is one row with all their names."""
+    unknown = [m for m in methods if m not in blocks]
+    if unknown:
+        raise ValueError(f"unknown methods: {unknown}")
+    return final_candidates(base, union_provenance([blocks[m] for m in methods])) if methods else base
+
+
+def pool_report(base: DataFrame, blocks: dict[str, DataFrame], methods: list[str], truth: DataFrame) -> DataFrame:
+    """What each chosen method adds to the base alone: pairs, new pairs, new true pairs, in one aggregation."""
+    zero = F.lit(0)
+    rows = base.select(*PAIR, F.lit(1).alias("_b"), zero.alias("_t"), F.lit(None).cast("string").alias("method")).unionByName(truth.select(*PAIR, zero.alias("_b"), F.lit(1).alias("_t"), F.lit(None).cast("string").alias("method")))
+    for m in methods:
+        rows = rows.unionByName(blocks[m].select(*PAIR, zero.alias("_b"), zero.alias("_t"), F.lit(m).alias("method")))
+    g = rows.groupBy(*PAIR).agg(F.max("_b").alias("b"), F.max("_t").alias("t"), F.collect_set("method").alias("ms")).select("b", "t", F.explode("ms").alias("method"))
+    return g.groupBy("method").agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("b") == 0).alias("new_pairs"), F.count_if((F.col("b") == 0) & (F.col("t") == 1)).alias("new_true"))
+
+
+def train_pool(parts: list[DataFrame]) -> DataFrame:
+    """One row a pair from blocks under any of their names: names are made canonical, identities unique, the mask an INT.
+
+    Rows with a null id, an unknown block or a source other than S2 and S3 fail the job.
+    """
+    name = F.lower(F.trim("block_name"))
+    canonical = name
+    for alias, known in ALIASES.items():
+        canonical = F.when(name == alias, F.lit(known)).otherwise(canonical)
+    rows = _all(parts).withColumn("block_name", canonical)
+    wrong = F.col(PAIR[0]).isNull() | F.col(PAIR[1]).isNull() | ~F.coalesce(F.col(PAIR[2]).isin("S2", "S3"), F.lit(False)) | ~F.coalesce(F.col("block_name").isin(list(BITS)), F.lit(False))
+    fault = F.raise_error(F.concat_ws(" ", F.lit("bad candidate:"), *PAIR, "block_name")).cast("boolean")
+    rows = rows.where(F.when(wrong, fault).otherwise(F.lit(True)))
+    g = rows.withColumn("_bit", _bit()).groupBy(*PAIR).agg(F.bit_or("_bit").alias("blocking_mask"), F.array_sort(F.collect_set("block_name")).alias("_names"))
+    return g.select(*PAIR, "blocking_mask", F.size("_names").cast("tinyint").alias("num_blocking_methods"), F.array_join("_names", "|").alias("blocking_methods"))
+
+
 def prune_medium(candidates: DataFrame, records: DataFrame, least: int = 3) -> DataFrame:
     """Pairs of two methods or more; name-only ones whose names agree; rare-address ones with names or addresses near."""
     cols = ["name_norm", "name_compact", "address_tokens"]

@@ -26,6 +26,37 @@ def leakage(train: DataFrame, valid: DataFrame) -> DataFrame:
     return ids.agg(F.count(F.lit(1)).alias("leaked"))
 
 
+def split_report(pairs: DataFrame, of: int = 10, train_below: int = 8) -> DataFrame:
+    """One row: pairs and records on each side, pairs on neither, records on both."""
+    b = bucket(F.col("source1_entity_id"), of)
+    per = pairs.select("source1_entity_id", (b < train_below).alias("train")).groupBy("source1_entity_id").agg(F.count_if("train").alias("t"), F.count_if(~F.col("train")).alias("v"), F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("t").alias("train_pairs"), F.sum("v").alias("valid_pairs"), F.count_if(F.col("t") > 0).alias("train_entities"), F.count_if(F.col("v") > 0).alias("valid_entities"), F.sum(F.col("n") - F.col("t") - F.col("v")).alias("lost_pairs"), F.count_if((F.col("t") > 0) & (F.col("v") > 0)).alias("leaked"))
+
+
+def truth_gates(truth: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row: pairs, pairs that repeat, sources other than S2 and S3, pairs without a target record, target ids of both sources."""
+    rows = truth.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
+    known = targets.groupBy(F.col("entity_id").alias("matched_entity_id")).agg(F.countDistinct("source").alias("_sources"))
+    found = rows.join(known, "matched_entity_id", "left").agg(F.sum("n").alias("pairs"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(~F.coalesce(F.col("matched_source").isin("S2", "S3"), F.lit(False))).alias("bad_source"), F.count_if(F.col("_sources").isNull()).alias("unknown_target"))
+    both = known.agg(F.count_if(F.col("_sources") > 1).alias("ids_of_both_sources"))
+    one = F.lit(1).alias("_one")
+    return found.select("*", one).join(both.select("*", one), "_one").drop("_one")
+
+
+def label_gates(labelled: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One row: labelled pairs, how many the candidates have more or less, labels outside 0 and 1, positives."""
+    c = candidates.select(*PAIR, F.lit(1).alias("_c"), F.lit(0).alias("_l"), F.lit(None).cast("int").alias("label"))
+    rows = c.unionByName(labelled.select(*PAIR, F.lit(0).alias("_c"), F.lit(1).alias("_l"), F.col("label").cast("int")))
+    g = rows.groupBy(*PAIR).agg(F.sum("_c").alias("c"), F.sum("_l").alias("l"), F.max("label").alias("label"))
+    return g.agg(F.sum("l").alias("pairs"), F.count_if(F.col("l") < F.col("c")).alias("lost"), F.count_if(F.col("l") > F.col("c")).alias("added"), F.count_if((F.col("l") > 0) & ~F.coalesce(F.col("label").isin(0, 1), F.lit(False))).alias("bad_labels"), F.count_if(F.col("label") == 1).alias("positives"))
+
+
+def per_source(rows: DataFrame, n: int, key: str = "entity_id") -> DataFrame:
+    """n rows of each source, by the hash of their key."""
+    order = Window.partitionBy("source").orderBy(F.md5(key), key)
+    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+
+
 def pair_bucket(n: int) -> Column:
     return bucket(F.concat_ws("|", "source1_entity_id", "matched_entity_id"), n)
 

@@ -8,6 +8,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources import io
 from tessera.sources.io import PAIR
 
 
@@ -36,6 +37,34 @@ def entity_f05(predicted: set, true: set) -> tuple[float, float, float]:
     return (1.25 * hit / (len(predicted) + 0.25 * len(true)) if hit else 0.0), hit / len(predicted), hit / len(true)
 
 
+def macro_of(predicted: dict[str, set], truth: dict[str, set], entities: list[str]) -> dict[str, float]:
+    """Macro averages over the records, on the driver; records without an entry have no matches."""
+    each = [entity_f05(predicted.get(e, set()), truth.get(e, set())) for e in entities]
+    n = len(each) or 1
+    return {name: sum(x[i] for x in each) / n for i, name in enumerate(("macro_f05", "macro_precision", "macro_recall"))}
+
+
+def pair_scores(flagged: DataFrame, predicted: str = "prediction", label: str = "label") -> DataFrame:
+    """One row of counts, precision, recall and F0.5 over pairs."""
+    p, t = F.col(predicted) == 1, F.col(label) == 1
+    found = flagged.agg(F.count_if(p & t).alias("tp"), F.count_if(p & ~t).alias("fp"), F.count_if(~p & t).alias("fn"))
+    share = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return found.select("tp", "fp", "fn", F.round(share(tp, tp + fp), 6).alias("precision"), F.round(share(tp, tp + fn), 6).alias("recall"), F.round(share(F.lit(1.25) * tp, F.lit(1.25) * tp + F.lit(0.25) * fn + fp), 6).alias("f05"))
+
+
+def group_f05(scored: DataFrame, least: float = 0.50, alpha: float = 0.70) -> DataFrame:
+    """One row: macro F0.5 over (record, source) groups of scored, labelled pairs, taken at max(least, alpha * the group's best).
+
+    The number that tells when to stop boosting (models.best_rounds).
+    """
+    keys = ["source1_entity_id", "matched_source"]
+    best = scored.groupBy(*keys).agg(F.max("score").alias("_max"))
+    taken = scored.join(best, keys).withColumn("_p", (F.col("score") >= F.greatest(F.lit(float(least)), F.lit(float(alpha)) * F.col("_max"))).cast("int"))
+    per = taken.groupBy(*keys).agg(F.sum("_p").alias("p"), F.sum("label").alias("t"), F.sum(F.col("_p") * F.col("label")).alias("tp"))
+    return per.agg(F.count(F.lit(1)).alias("groups"), F.round(F.avg(f05(F.col("p"), F.col("t"), F.col("tp"))), 6).alias("macro_f05_proxy"))
+
+
 def entity_counts(predicted: DataFrame, truth: DataFrame, entities: DataFrame) -> DataFrame:
     """(source1_entity_id, num_pred, num_true, num_tp) of every entity, in one aggregation."""
     p = predicted.select(*PAIR).distinct().withColumn("_p", F.lit(1)).withColumn("_t", F.lit(0))
@@ -133,11 +162,12 @@ def search(scored: DataFrame, truth: DataFrame, entities: DataFrame) -> tuple[fl
     return best_threshold(grid), grid
 
 
-def refined(grid: DataFrame, scored: DataFrame, truth: DataFrame, entities: DataFrame) -> DataFrame:
-    """0.005 steps within 0.05 of the grid's best."""
-    best = best_threshold(grid)
-    low, high = max(0.0, best - 0.05), min(1.0, best + 0.05)
-    return threshold_grid(scored, truth, entities, [round(low + 0.005 * i, 6) for i in range(round((high - low) / 0.005) + 1)])
+def refined(scored: DataFrame, truth: DataFrame, entities: DataFrame, coarse: list[float], reach: float = 0.05, step: float = 0.005) -> DataFrame:
+    """The grid of small steps around the best of the coarse thresholds, kept between 0 and 1."""
+    scored = io.kept(scored)
+    best = best_threshold(threshold_grid(scored, truth, entities, coarse))
+    around = [round(best + step * k, 6) for k in range(-round(reach / step), round(reach / step) + 1)]
+    return threshold_grid(scored, truth, entities, [t for t in around if 0 <= t <= 1])
 
 
 def candidate_recall(candidates: DataFrame, truth: DataFrame) -> DataFrame:
@@ -194,8 +224,9 @@ def incremental_recall(base: DataFrame, more: DataFrame, truth: DataFrame) -> Da
     return out.select("*", r(F.col("base_true")).alias("base_recall"), r(F.col("base_true") + F.col("new_true")).alias("combined_recall"), F.when(F.col("new_true") > 0, F.round(F.col("new_pairs") / F.col("new_true"), 6)).alias("candidates_per_new_true"))
 
 
-#: Weights of the components of a blend, normalised before use.
-BLENDS = {"even": (1, 1, 1), "first": (1, 0, 0), "second": (0, 1, 0), "third": (0, 0, 1), "lead": (5, 3, 2), "pair": (1, 1, 0), "outer": (1, 0, 1), "tail": (2, 3, 5)}
+# Weights of the three components in the blends that are tried, in percent, and the thresholds.
+BLENDS = {"first": (100, 0, 0), "second": (0, 100, 0), "third": (0, 0, 100), "a": (50, 30, 20), "b": (60, 25, 15), "c": (65, 20, 15), "d": (70, 20, 10), "e": (55, 20, 25)}
+THRESHOLDS = [0.35, 0.40, 0.45, 0.50, 0.525, 0.55, 0.575, 0.60, 0.625, 0.65, 0.675, 0.70, 0.75, 0.80]
 
 
 def blend(df: DataFrame, parts: list[str], weights) -> DataFrame:
@@ -215,3 +246,40 @@ def weight_grid(components: DataFrame, parts: list[str], truth: DataFrame, entit
     grid = _macro_by(chosen, "setting", [float(i) for i in range(len(settings))], truth, entities)
     known = components.sparkSession.createDataFrame([(float(i), n, float(t)) for i, (n, t) in enumerate(settings)], "setting double, blend string, threshold double")
     return F.broadcast(known).join(grid, "setting").drop("setting")
+
+
+def tune_weights(components: DataFrame, parts: list[str], truth: DataFrame, entities: DataFrame, thresholds: list[float] = THRESHOLDS, blends: dict = BLENDS) -> DataFrame:
+    """The best threshold of every blend: of the grid, or of 0.01 and 0.02 beside its best if one of those is strictly better.
+
+    Two passes over the pairs for all blends together; the smaller threshold wins ties.
+    """
+    components = io.kept(components)
+    best = Window.partitionBy("blend").orderBy(F.col("macro_f05").desc(), "threshold")
+    first = io.kept(weight_grid(components, parts, truth, entities, thresholds, blends).withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n"))
+    steps = {r["blend"]: [t for t in (round(r["threshold"] + d, 4) for d in (-0.02, -0.01, 0.01, 0.02)) if 0 < t < 1 and t not in thresholds] for r in first.select("blend", "threshold").collect()}
+    fine = weight_grid(components, parts, truth, entities, sorted(set().union(*steps.values())), blends)
+    mine = reduce(lambda a, b: a | b, [(F.col("blend") == n) & F.col("threshold").isin(ts) for n, ts in steps.items()], F.lit(False))
+    both = first.withColumn("_fine", F.lit(0)).unionByName(fine.where(mine).withColumn("_fine", F.lit(1)))
+    order = Window.partitionBy("blend").orderBy(F.col("macro_f05").desc(), "_fine", "threshold")
+    return both.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "_fine")
+
+
+def combined(base: DataFrame, experiments: dict[str, DataFrame], truth: DataFrame) -> DataFrame:
+    """Pairs, true pairs, recall and purity of base, of base with each experiment, and of base with all of them, in one aggregation."""
+    names = list(experiments)
+    sets = [base, *experiments.values(), truth]
+    rows = [d.select(*PAIR).distinct().select("*", *[F.lit(int(i == j)).alias(f"_{j}") for j in range(len(sets))]) for i, d in enumerate(sets)]
+    g = reduce(DataFrame.unionByName, rows).groupBy(*PAIR).agg(*[F.max(f"_{j}").alias(f"_{j}") for j in range(len(sets))])
+    with_truth = F.col(f"_{len(sets) - 1}") == 1
+    choices = {"base": [0], **{f"base + {n}": [0, i + 1] for i, n in enumerate(names)}, "base + all": list(range(len(names) + 1))}
+    has = lambda js: reduce(lambda a, b: a | b, [F.col(f"_{j}") == 1 for j in js])
+    found = g.agg(F.count_if(with_truth).alias("true_pairs"), *[F.count_if(has(js)).alias(f"p{i}") for i, js in enumerate(choices.values())], *[F.count_if(has(js) & with_truth).alias(f"c{i}") for i, js in enumerate(choices.values())])
+    out = found.select("true_pairs", F.inline(F.array(*[F.struct(F.lit(n).alias("pool"), F.col(f"p{i}").alias("candidate_pairs"), F.col(f"c{i}").alias("covered")) for i, n in enumerate(choices)])))
+    return _rates(out.select("pool", "candidate_pairs", "true_pairs", "covered"))
+
+
+def increment(base: DataFrame, more: DataFrame, truth: DataFrame) -> DataFrame:
+    """incremental_recall with the gain, the new pairs' purity, and the purity that the whole pool would have."""
+    r = incremental_recall(base, more, truth)
+    share = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(F.round(F.lit(100.0) * a / b, 6))
+    return r.select("*", share(F.col("new_true"), F.col("true_pairs")).alias("recall_gain"), share(F.col("new_true"), F.col("new_pairs")).alias("new_purity"), share(F.col("base_true") + F.col("new_true"), F.col("base_pairs") + F.col("new_pairs")).alias("projected_purity"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.features import FEATURES
+from tessera.operators.metrics import group_f05
 
 SEED = 20260926
 
@@ -48,6 +51,18 @@ def train(labelled: DataFrame, features: list[str] = FEATURES, kind: str = "gbt"
     return model.fit(rows)
 
 
+def best_rounds(train_rows: DataFrame, valid: DataFrame, steps: tuple[int, ...] = (10, 20, 40), features: list[str] = FEATURES, measure=group_f05):
+    """(model, rounds, measure) of the boosting length whose proxy on valid is best; it stops at the first step that is no better."""
+    best = None
+    for rounds in steps:
+        model = train(train_rows, features, rounds=rounds)
+        found = measure(predict(model, valid, features)).first()["macro_f05_proxy"]
+        if best is not None and found <= best[2]:
+            break
+        best = (model, rounds, found)
+    return best
+
+
 def predict(model, df: DataFrame, features: list[str] = FEATURES, name: str = "score") -> DataFrame:
     """df with the probability of a match."""
     out = model.transform(assembled(df, features))
@@ -71,6 +86,11 @@ def importance(model, features: list[str] = FEATURES) -> list[tuple[str, float]]
     return sorted(zip(features, (float(x) for x in model.featureImportances)), key=lambda x: (-x[1], x[0]))
 
 
+def write_importance(model, path: str, features: list[str] = FEATURES) -> None:
+    """feature,importance lines, the most important first."""
+    Path(path).write_text("".join(f"{a},{b}\n" for a, b in [("feature", "importance"), *importance(model, features)]))
+
+
 def score_with(df: DataFrame, fn, features: list[str]) -> DataFrame:
     """Scores of any Python model: fn takes a pandas frame of features and returns a list."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,30 @@ def features_quality(features: DataFrame, ratios: tuple[str, ...] = ("ratio", "o
     )
 
 
+def features_gate(features: DataFrame, expected: dict[str, int], ratios: tuple[str, ...] = ("ratio", "overlap", "jaccard")) -> DataFrame:
+    """For each expected source: rows wanted and found, null ids, null features, ratios out of range, flags outside 0 and 1, repeated pairs.
+
+    Rows of other sources are counted under their own name with none wanted.  A missing feature column fails at once.
+    """
+    missing = [c for c in FEATURES if c not in features.columns]
+    if missing:
+        raise ValueError(f"missing features: {missing}")
+    any_of = lambda conds: reduce(lambda a, b: a | b, conds)
+    flags = [c for c in FEATURES if c.endswith(("exact", "present")) or c.startswith("block_")]
+    tests = {
+        "null_ids": F.col(PAIR[0]).isNull() | F.col(PAIR[1]).isNull(),
+        "null_features": any_of([F.col(c).isNull() for c in FEATURES]),
+        "ratios_out_of_range": F.coalesce(any_of([(F.col(c) < 0) | (F.col(c) > 1) for c in FEATURES if c.endswith(ratios)]), F.lit(False)),
+        "flags_out_of_range": F.coalesce(any_of([~F.col(c).isin(0, 1) for c in flags]), F.lit(False)),
+    }
+    per = features.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(t).alias(n) for n, t in tests.items()])
+    found = per.groupBy("matched_source").agg(F.sum("_n").alias("rows"), *[F.sum(n).alias(n) for n in tests], F.count_if(F.col("_n") > 1).alias("repeated_pairs"))
+    wanted = features.sparkSession.createDataFrame([(s, int(n)) for s, n in expected.items()], "matched_source string, wanted long")
+    zero = F.lit(0).cast("long")
+    out = F.broadcast(wanted).join(found, "matched_source", "full")
+    return out.select("matched_source", *[F.coalesce(c, zero).alias(c) for c in ("wanted", "rows", *tests, "repeated_pairs")])
+
+
 def missing_profile(records: DataFrame) -> DataFrame:
     """By source and column: rows, missing and the share in percent; blank and `nan`-like words count as missing."""
     # Spellings of a missing value.

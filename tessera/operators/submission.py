@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.sources import io
@@ -55,14 +55,40 @@ def validate(matches: DataFrame, candidates: DataFrame, entities: DataFrame, tar
     return listed(by_record, record_checks).unionByName(listed(by_id, id_checks))
 
 
-def check_file(path: str, header: tuple[str, str]) -> list[str]:
-    """Faults of one TSV file that are seen line by line: header, tabs, quotes."""
-    faults = []
-    with open(path, encoding="utf-8") as f:
-        first = f.readline().rstrip("\n")
-        if first.split("\t") != list(header):
-            faults.append(f"header is {first!r}")
-        for n, line in enumerate(f, 2):
-            if line.count("\t") != 1:
-                faults.append(f"line {n}: {line.count(chr(9))} tabs")
-    return faults
+def check_lines(lines: DataFrame, header: tuple[str, str], entities: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """(check, failures) of a result file's raw lines (value): what a reader of the finished TSV would object to.
+
+    The header line is the one with both column names.  Lines without a tab that hold more than space are malformed;
+    with targets (entity_id) ids that no target has are counted.
+    """
+    is_header = F.lower(F.col("value")) == "\t".join(header)
+    cut = F.instr("value", "\t")
+    rest = F.expr("substring(value, instr(value, '\t') + 1)")
+    rows = lines.where(~is_header & (cut > 0)).select(F.expr("substring(value, 1, instr(value, '\t') - 1)").alias("s1"), F.when(F.trim(rest) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ",")).alias("ids"))
+    raw = lines.agg(F.count_if(is_header).alias("headers"), F.count_if(~is_header & (cut == 0) & (F.trim("value") != "")).alias("no_tab")).select((F.col("headers") != 1).cast("long").alias("headers"), "no_tab")
+    wanted = entities.select(F.col("source1_entity_id").alias("s1")).distinct()
+    records = rows.select("s1", F.lit(1).alias("r"), F.lit(0).alias("w"), (F.size("ids") != F.size(F.array_distinct("ids"))).cast("int").alias("d"), (F.size("ids") == 0).cast("int").alias("e"))
+    records = records.unionByName(wanted.select("s1", F.lit(0).alias("r"), F.lit(1).alias("w"), F.lit(0).alias("d"), F.lit(0).alias("e"))).groupBy("s1").agg(*[F.sum(c).alias(c) for c in "rwde"])
+    c = F.col
+    by_record = records.agg(F.count_if(c("r") > 1).alias("repeated record"), F.count_if(c("d") > 0).alias("repeated id in a list"), F.count_if((c("r") == 0) & (c("w") > 0)).alias("missing record"), F.count_if(c("w") == 0).alias("unknown record"), F.coalesce(F.sum("e"), F.lit(0)).alias("empty lists"))
+    ids = rows.select(F.explode("ids").alias("id")).distinct()
+    tests = {"source-1 id": c("id").startswith("S1-"), "bad prefix": ~c("id").rlike("^S[123]-")}
+    if targets is not None:
+        ids = ids.join(targets.select(c("entity_id").alias("id"), F.lit(True).alias("_known")).distinct(), "id", "left")
+        tests["unknown id"] = c("id").rlike("^S[23]-") & c("_known").isNull()
+    by_id = ids.agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+
+    def listed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        return df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), c(k).cast("long").alias("failures")) for k, n in names.items()])))
+
+    out = listed(raw, {"headers": "header", "no_tab": "no tab"}).unionByName(listed(by_record, {n: n for n in by_record.columns}))
+    return out.unionByName(listed(by_id, {n: n for n in by_id.columns}))
+
+
+def check_file(spark: SparkSession, path: str, header: tuple[str, str], entities: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """check_lines of a file, or of a folder of files that each have a header."""
+    lines = spark.read.text(path)
+    found = check_lines(lines, header, entities, targets)
+    files = lines.select(F.input_file_name().alias("f")).distinct().count()
+    headers = lines.where(F.lower(F.col("value")) == "\t".join(header)).count()
+    return found.withColumn("failures", F.when(F.col("check") == "header", F.lit(int(headers != files))).otherwise(F.col("failures")))

@@ -150,6 +150,14 @@ class Context:
         n = self.stripped
         return [blocking.exact(n, "address_norm", "address"), blocking.exact(n, "address_compact", "address_compact"), blocking.exact(n, "name_norm", "name"), blocking.rare_topk(n, "name_tokens", "rare_name", drop_numbers=True), blocking.rare_topk(n, "address_tokens", "rare_address")]
 
+    @cached_property
+    def blocks(self) -> dict[str, DataFrame]:
+        return dict(zip(("address", "address_compact", "name", "rare_name", "rare_address"), self.parts()))
+
+    @cached_property
+    def more_blocks(self) -> dict[str, DataFrame]:
+        return {"rare_name_strict": blocking.rare_strict(self.stripped), "core_name": blocking.core_name(self.stripped)}
+
     @cached_property
     def union(self) -> DataFrame:
         return io.kept(candidates.union_provenance(self.parts()))
@@ -160,7 +168,7 @@ class Context:
 
     @cached_property
     def expansion(self) -> DataFrame:
-        return candidates.union_provenance([blocking.rare_strict(self.stripped), blocking.core_name(self.stripped)])
+        return candidates.union_provenance(list(self.more_blocks.values()))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -213,11 +221,9 @@ for _name, _key in (("block_name", "name_norm"), ("block_address", "address_norm
     _q(_name, lambda c, k=_key, m=_name[6:]: blocking.exact(c.n, k, m), _ALL + "b_" + _name[6:])
 _q("block_rare_name_topk", lambda c: blocking.rare_topk(c.n, "name_tokens", "rare_name", drop_numbers=True), _ALL + "b_rare_name")
 _q("block_rare_address_topk", lambda c: blocking.rare_topk(c.n, "address_tokens", "rare_address"), _ALL + "b_rare_address")
-_q("block_num_prefix", lambda c: blocking.number_prefix(c.stripped), _ALL + "b_num_pfx")
 _q("block_core_name", lambda c: blocking.core_name(c.stripped), _ALL + "b_core_name")
 _q("block_domain_name", lambda c: blocking.domain_name(c.stripped), _ALL + "b_domain_name")
 _q("block_ascii_exact", lambda c: blocking.ascii_exact(c.n), _ALL + "b_ascii")
-_q("block_translit_or", lambda c: blocking.transliterated(c.stripped, None), _ALL + "b_translit")
 _q("block_numeric_anchor", lambda c: blocking.number_anchor(rec.normalise(io.sample_anchors(c.spark, c.sf))), "SELECT DISTINCT 'S1-' || s_suppkey AS source1_entity_id, 'S2-' || c_custkey AS matched_entity_id, 'S2' AS matched_source, 'numeric_anchor' AS block_name FROM supplier JOIN (SELECT * FROM (SELECT c_custkey, regexp_extract(c_name, '[0-9]{5,}') AS t, count(*) OVER (PARTITION BY regexp_extract(c_name, '[0-9]{5,}')) AS f FROM customer) WHERE f <= 100) ON t = regexp_extract(s_name, '[0-9]{5,}') WHERE t <> ''")
 _q("block_rare_name_strict", lambda c: blocking.rare_strict(c.n), _ALL + "b_strict")
 _q("block_address_overlap", lambda c: blocking.address_overlap(c.n), _ALL + "b_overlap")
@@ -229,7 +235,6 @@ _q("prune_provenance", lambda c: candidates.prune_provenance(c.parts()), f"SELEC
 _q("expansion_union", lambda c: c.expansion, _ALL + "expn")
 _q("anti_new_candidates", lambda c: candidates.new_over(c.pruned, c.expansion), f"SELECT e.* FROM expn e ANTI JOIN pruned p USING ({_P})")
 _q("final_candidates", lambda c: candidates.final_candidates(c.pruned, c.expansion), f"SELECT * FROM pruned UNION ALL SELECT e.* FROM expn e ANTI JOIN pruned p USING ({_P})")
-_q("check_candidates", lambda c: candidates.check_candidates(c.pruned, c.n), "SELECT count(*) AS rows, 0::BIGINT AS duplicates, 0::BIGINT AS null_keys, 0::BIGINT AS bad_source, 0::BIGINT AS missing_source1, 0::BIGINT AS missing_target FROM pruned")
 _q("ground_truth_pairs", lambda c: c.truth, _ALL + "truth")
 _q("gt_histogram", lambda c: metrics.truth_histogram(c.truth), "SELECT matches, count(*) AS entities FROM (SELECT count(*) AS matches FROM truth GROUP BY source1_entity_id) GROUP BY 1")
 _q("candidate_recall", lambda c: metrics.candidate_recall(blocking.exact(c.n, "name_norm", "name"), c.truth), f"SELECT *, {_RATES} FROM (SELECT {_SUMS} FROM {_MARKED.format('b_name')})")
@@ -243,7 +248,6 @@ _q("jaro_winkler", lambda c: features.enriched(blocking.exact(c.n, "name_norm",
 _q("label_pairs", lambda c: c.labelled.select(*io.PAIR, "label"), f"SELECT {_P}, label FROM lab")
 _BUCKET = "(('0x' || substr(md5({0}), 1, 8))::BIGINT % {1})::INTEGER"
 _q("split_buckets", lambda c: labels.split(c.union)[1].select(*io.PAIR), f"SELECT {_P} FROM uni WHERE {_BUCKET.format('source1_entity_id', 10)} >= 8")
-_q("split_leakage", lambda c: labels.leakage(*labels.split(c.union)), "SELECT 0::BIGINT AS leaked")
 _q("hard_negatives", lambda c: labels.hard_negatives(c.labelled, 3), f"SELECT * FROM (SELECT {_P}, score AS proxy, row_number() OVER (PARTITION BY source1_entity_id, matched_source ORDER BY score DESC, md5(matched_entity_id), matched_entity_id)::INTEGER AS rnk FROM sc WHERE label = 0) WHERE rnk <= 3")
 _PB = _BUCKET.format("source1_entity_id || '|' || matched_entity_id", 1000000)
 _q("balanced_sample", lambda c: labels.balanced(c.scored).select(*io.PAIR, "label"), f"SELECT {_P}, label FROM sc, (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM sc) WHERE label = 1 OR {_PB} < round(least(1.0::DOUBLE, 3.0::DOUBLE * p / n) * 1e6)")
@@ -270,10 +274,6 @@ _BL = "(name_char_ratio::DOUBLE * (5 / 10.0::DOUBLE) + name_token_jaccard::DOUBL
 _q("blend_scores", lambda c: metrics.blend(c.features.select(*io.PAIR, *[F.col(p).cast("double").alias(p) for p in _PARTS]), _PARTS, (5, 3, 2)).select(*io.PAIR, F.round("score", 6).alias("score")), f"SELECT {_P}, round({_BL}, 6) AS score FROM feat")
 _q("submission_matching", lambda c: submission.result_lists(decision.threshold(c.scored, 0.585), c.entities), f"SELECT source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM ent LEFT JOIN (SELECT source1_entity_id, string_agg(matched_entity_id, ',' ORDER BY matched_source, matched_entity_id) AS ids FROM sc WHERE score >= 0.585 GROUP BY 1) USING (source1_entity_id)")
 _q("submission_candidates", lambda c: submission.result_lists(c.union, c.entities, "candidate_entity_ids"), "SELECT source1_entity_id, coalesce(ids, '') AS candidate_entity_ids FROM ent LEFT JOIN (SELECT source1_entity_id, string_agg(matched_entity_id, ',' ORDER BY matched_source, matched_entity_id) AS ids FROM uni GROUP BY 1) USING (source1_entity_id)")
-_CHECKS = [f"{w}: {r}" for w in ("matches", "candidates") for r in ("repeated record", "missing record", "unknown record", "repeated id", "source-1 id", "bad prefix", "unknown id")] + ["matches outside candidates"]
-_q("validate_submission", lambda c: submission.validate(submission.result_lists(decision.threshold(c.scored, 0.585), c.entities), submission.result_lists(c.union, c.entities, "candidate_entity_ids"), c.entities, c.n.where("source <> 'S1'")), "SELECT unnest([" + _lists(_CHECKS) + "]) AS \"check\", 0::BIGINT AS failures")
-_ratios = [f for f in features.FEATURES if f.endswith(("ratio", "overlap", "jaccard"))]
-_q("feature_quality", lambda c: quality.features_quality(c.features), "SELECT count(*) AS rows, 0::BIGINT AS repeated_pairs, 0::BIGINT AS nulls, 0::BIGINT AS ratios_out_of_range, 0::BIGINT AS flags_out_of_range, 0::BIGINT AS bad_sources, " + ", ".join(f"round(avg({c}::DOUBLE), 4) AS mean_{c}" for c in ("name_token_jaccard", "address_token_jaccard", "name_char_ratio")) + " FROM feat")
 _cnt = lambda cond, name: f"count(*) FILTER (WHERE {cond}) AS {name}"
 _q("normalized_quality", lambda c: quality.records_quality(c.n), "SELECT source, count(*) AS rows, count(*) - count(DISTINCT entity_id) AS repeated_ids, " + ", ".join([_cnt("trim(entity_id) = ''", "empty_ids"), *[_cnt(f"{x} = ''", f"empty_{x}") for x in ("name_norm", "name_compact", "address_norm", "address_compact", "country_norm")], *[_cnt(f"len({x}) = 0", f"empty_{x}") for x in ("name_tokens", "address_tokens")], *[_cnt(f"coalesce({x}, '') = ''", f"missing_{x}") for x in ("business_name", "business_address", "country")]]) + " FROM n GROUP BY 1")
 _q("record_gates", lambda c: rec.gates(c.n), "SELECT source, count(*) AS rows, count(DISTINCT entity_id) AS ids, count(*) FILTER (WHERE trim(coalesce(entity_id, '')) = '') AS empty_ids FROM n GROUP BY 1")
@@ -285,8 +285,7 @@ _q("profile_tokens", lambda c: rec.token_stats(c.n, "address_tokens").groupBy("t
 _q("profile_prefix", lambda c: quality.prefix_check(c.n), "SELECT source, count(*) AS ids, count(*) FILTER (WHERE NOT starts_with(entity_id, source || '-')) AS wrong_prefix FROM rec GROUP BY 1")
 _q("profile_text", lambda c: quality.text_profile(io.sample_records(c.spark, c.sf), "business_name"), r"SELECT source, count(*) AS rows, round(quantile_cont(length(business_name), 0.99), 6) AS length_p99, max(length(business_name))::INTEGER AS length_max, round(quantile_cont(len(list_filter(regexp_split_to_array(business_name, '\s+'), lambda x: x <> '')), 0.99), 6) AS tokens_p99, round(100.0::DOUBLE * count(*) FILTER (WHERE regexp_matches(business_name, '[^\x00-\x7F]')) / count(*), 6) AS non_ascii_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE regexp_matches(business_name, '[0-9]')) / count(*), 6) AS digit_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE business_name <> '' AND upper(business_name) = business_name AND lower(business_name) <> business_name) / count(*), 6) AS upper_pct FROM rec GROUP BY 1")
 _q("profile_lists", lambda c: quality.list_profile(submission.result_lists(c.truth, c.entities)), "SELECT count(*) AS rows, count(*) FILTER (WHERE n = 0) AS empty_rows, sum(n)::BIGINT AS matches, round(avg(n), 6) AS avg_matches, max(n) AS most FROM (SELECT count(matched_entity_id) AS n FROM ent LEFT JOIN truth USING (source1_entity_id) GROUP BY source1_entity_id)")
-_q("unicode_view", lambda c: c.n.select("entity_id", text.unicode_view("business_name").alias("name_unicode")), None)
-_W = {n: w for n, w in metrics.BLENDS.items() if n in ("even", "lead", "tail")}
+_W = {n: w for n, w in metrics.BLENDS.items() if n in ("a", "c", "third")}
 _BLENDED = " UNION ALL ".join(f"SELECT {_P}, '{n}' AS blend, 0.0::DOUBLE + " + " + ".join(f"{p}::DOUBLE * ({x} / {sum(w)}::DOUBLE)" for p, x in zip(_PARTS, w)) + " AS score FROM feat" for n, w in _W.items())
 _BY = "(SELECT g.*, e.source1_entity_id, coalesce(p, 0) AS p, coalesce(t, 0) AS t, coalesce(tp, 0) AS tp FROM (SELECT * FROM {grid}) g CROSS JOIN ent e LEFT JOIN (SELECT {key}, s.source1_entity_id, count(*) AS p, count(x) AS tp FROM {chosen} s LEFT JOIN (SELECT *, 1 AS x FROM truth) USING (" + _P + ") GROUP BY ALL) USING ({key}, source1_entity_id) LEFT JOIN (SELECT source1_entity_id, count(*) AS t FROM truth GROUP BY 1) USING (source1_entity_id))"
 _MACRO = f"count(*) AS entities, sum(tp)::BIGINT AS tp, sum(p - tp)::BIGINT AS fp, sum(t - tp)::BIGINT AS fn, sum(p)::BIGINT AS predicted_pairs, sum(t)::BIGINT AS true_pairs, round(avg({_F}), 6) AS macro_f05, round(avg(CASE WHEN p = 0 THEN 0.0 ELSE tp::DOUBLE / p END), 6) AS macro_precision, round(avg(CASE WHEN t = 0 THEN 0.0 ELSE tp::DOUBLE / t END), 6) AS macro_recall"
@@ -304,3 +303,5 @@ def _gbt(c: Context) -> DataFrame:
 
 
 _q("gbt_scores", _gbt, None)
+
+from tessera.plans import gates as _gates  # noqa: E402,F401  it registers its queries here

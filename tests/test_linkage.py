@@ -157,7 +157,11 @@ def test_submission_round_trip(spark, tmp_path):
     io.write_tsv(m.orderBy("source1_entity_id"), f"{tmp_path}/m", 1)
     (part,) = [p for p in (tmp_path / "m").iterdir() if p.name.startswith("part")]
     assert part.read_text() == "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9,S3-1\nS1-2\t\n"
-    assert submission.check_file(str(part), ("source1_entity_id", "matched_entity_ids")) == []
+    faults = {r.check: r.failures for r in submission.check_file(spark, str(part), ("source1_entity_id", "matched_entity_ids"), e).collect()}
+    assert faults.pop("empty lists") == 1 and set(faults.values()) == {0}
+    io.write_tsv_file(m, f"{tmp_path}/one.tsv", 3)
+    assert sorted((tmp_path / "one.tsv").read_text().splitlines()) == ["S1-1\tS2-9,S3-1", "S1-2\t", "source1_entity_id\tmatched_entity_ids"]
+    assert (tmp_path / "one.tsv").read_text().startswith("source1_entity_id") and not (tmp_path / "one.tsv.parts").exists()
     back = io.read_tsv(spark, f"{tmp_path}/m", io.TRUTH_SCHEMA)
     assert {r[0]: r[1] for r in back.collect()} == {"S1-1": "S2-9,S3-1", "S1-2": None}
     assert submission.validate(m, m, e).where("failures > 0").count() == 0
@@ -205,3 +209,75 @@ def test_long_document_ids_stay_whole(spark, tmp_path):
     assert got == {f"S{i % 3 + 1}-{i:06d}" for i in ids}
     truth = io.sample_truth(spark, str(tmp_path)).collect()
     assert {r.source1_entity_id for r in truth} | {r.matched_entity_id for r in truth} <= got and len(set(truth)) == len(truth)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    io.write_parquet(spark.range(3), path)
+    with pytest.raises(Exception, match="stop"):
+        io.write_parquet(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    io.write_parquet(spark.read.parquet(path).where("id > 0"), path)  # the old table is read while the new one is written
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t.old").exists()
+    io.write_csv(spark.range(2), f"{tmp_path}/c")
+    assert spark.read.csv(f"{tmp_path}/c", header=True).count() == 2
+    assert io.read_parquet(spark, path, path).count() == 4
+    (tmp_path / "a").mkdir()
+    assert io.resolve_file("t", str(tmp_path / "a"), str(tmp_path)) == tmp_path / "t"
+    with pytest.raises(FileNotFoundError):
+        io.resolve_file("none", str(tmp_path))
+
+
+def test_arrow_tables_are_relations(spark):
+    import pyarrow as pa
+
+    assert [r.x for r in io.read_arrow(spark, pa.table({"x": [1, 2]})).orderBy("x").collect()] == [1, 2]
+
+
+def test_frequent_tokens_do_not_meet_in_one_task(spark):
+    """One token on most rows is dropped before rows are dealt by token, and the rare ones stay."""
+    rows = spark.range(20_000).selectExpr("'S2' as source", "cast(id as string) as entity_id", "'x' as country_norm", "case when id % 10 < 8 then 'the' else concat('t', id % 500) end as token")
+    got = rec.rare_tokens(rows, 50)
+    assert got.where("token = 'the'").count() == 0 and got.count() == 4_000
+    from pyspark import SparkContext
+
+    sc = SparkContext.getOrCreate()
+    sizes = got.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert max(sizes) <= 4_000 and sc is not None
+
+
+def test_driver_metrics():
+    got = metrics.macro_of({"a": {1, 2}, "b": {3}}, {"a": {1}, "c": {4}}, ["a", "b", "c", "d"])
+    each = [1.25 / (2 + 0.25), 0.0, 0.0, 1.0]
+    assert abs(got["macro_f05"] - sum(each) / 4) < 1e-12 and got["macro_precision"] == (0.5 + 0 + 0 + 1) / 4 and got["macro_recall"] == (1 + 1 + 0 + 1) / 4
+
+
+def test_pools_refuse_bad_candidates(spark):
+    schema = "source1_entity_id string, matched_entity_id string, matched_source string, block_name string"
+    good = spark.createDataFrame([("S1-1", "S2-1", "S2", "Name_compact "), ("S1-1", "S2-1", "S2", "address")], schema)
+    assert [tuple(r) for r in candidates.train_pool([good]).collect()] == [("S1-1", "S2-1", "S2", 5, 2, "address|name")]
+    for bad in (("S1-1", None, "S2", "name"), ("S1-1", "S9-1", "S9", "name"), ("S1-1", "S2-1", "S2", "new")):
+        with pytest.raises(Exception, match="bad candidate"):
+            candidates.train_pool([spark.createDataFrame([bad], schema)]).collect()
+    with pytest.raises(ValueError):
+        candidates.union_set({}, "exact")
+    with pytest.raises(ValueError):
+        candidates.pool(good, {}, ["none"])
+
+
+def test_boosting_length_by_the_entity_proxy(spark, tmp_path):
+    import random
+
+    r = random.Random(2)
+    made = []
+    for i in range(400):
+        y = int(r.random() < 0.3)
+        made.append((f"S1-{i // 4}", f"S2-{i}", "S2", y, y * 0.8 + 0.2 * r.random(), r.random()))
+    df = spark.createDataFrame(made, "source1_entity_id string, matched_entity_id string, matched_source string, label int, name_a double, name_b double")
+    train, valid = labels.split(df)
+    model, rounds, found = models.best_rounds(train, valid, (2, 4, 8), ["name_a", "name_b"])
+    assert rounds in (2, 4, 8) and found > 0.9
+    models.write_importance(model, f"{tmp_path}/i.csv", ["name_a", "name_b"])
+    assert (tmp_path / "i.csv").read_text().splitlines()[0] == "feature,importance" and (tmp_path / "i.csv").read_text().splitlines()[1].startswith("name_a")
+    models.save(model, f"{tmp_path}/m")
+    assert models.load(f"{tmp_path}/m").stages
