@@ -37,8 +37,9 @@ def test_planted_faults_are_there(spark):
     found = dict(con.sql(linkage.ORACLES["validate_planted"]).fetchall())
     assert all(n > 0 for name, n in found.items() if name.startswith("matches")), found
     for name in ("check_candidates", "split_leakage", "feature_quality"):
-        row = con.sql(linkage.ORACLES[name])
-        got = dict(zip(row.columns, row.fetchone()))
+        row = con.execute(linkage.ORACLES[name])
+        (values,) = row.fetchall()
+        got = dict(zip([d[0] for d in row.description], values))
         assert all(v != 0 for v in got.values()), (name, got)
     for name in ("block_num_prefix", "block_translit_or"):
         assert len(con.sql(linkage.ORACLES[name]).fetchall()) > 0
