@@ -108,14 +108,14 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
         uniq, inv, m = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         doc = np.repeat(np.arange(len(some), dtype=np.uint8), sizes)[np.argsort(inv, kind="stable")]  # the rows of each term in turn
         batches.append((labels[some], np.cumsum(sizes) - sizes, uniq.astype(np.int32), inv.astype(np.int32), doc, m, np.cumsum(m) - m))
-    w, v, b = np.zeros(len(keep) + 1), rng.normal(0, START, (FACTORS, len(keep) + 1)), float(np.log(p / (1 - p)))
+    w, v, b = np.zeros(len(keep) + 1), rng.normal(0, START, (FACTORS, len(keep) + 1)).astype(np.float32), float(np.log(p / (1 - p)))
     v[:, -1], noise = 0, np.append(noise, 0)
     gw, gv, gb = np.ones(len(w)), np.ones(len(w)), 1.0
     for epoch in range(EPOCHS):
         for at in rng.permutation(len(batches)):
             marks, rows_at, uniq, inv, doc, m, terms_at = batches[at]
-            vu, mine = v[:, uniq], uniq[:-1]
-            sums = np.add.reduceat(vu[:, inv], rows_at, axis=1)
+            vu, mine = np.take(v, uniq, axis=1), uniq[:-1]
+            sums = np.add.reduceat(np.take(vu, inv, axis=1), rows_at, axis=1)
             x = b + np.add.reduceat((w[uniq] - 0.5 * (vu**2).sum(axis=0))[inv], rows_at) + 0.5 * (sums**2).sum(axis=0)
             g = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - marks
             total = np.add.reduceat(g[doc], terms_at)
@@ -125,7 +125,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
             step = RATE_W / np.sqrt(gw[mine])
             wu = w[mine] - step * total[:-1]
             w[mine] = np.sign(wu) * np.maximum(np.abs(wu) - step * L1_W * least, 0)
-            dv = (np.add.reduceat((g * sums)[:, doc], terms_at, axis=1) - total * vu)[:, :-1]
+            dv = (np.add.reduceat((g * sums).astype(np.float32)[:, doc], terms_at, axis=1) - total * vu)[:, :-1]
             gv[mine] += (dv**2).mean(axis=0)
             if epoch >= FIRST:
                 step = RATE_V / np.sqrt(gv[mine])
