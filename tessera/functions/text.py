@@ -107,6 +107,11 @@ def ascii_view(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.lower(F.coalesce(_latin_udf(c), F.lit("")))).otherwise(F.lower(c))
 
 
+def ascii_key(c: Column) -> Column:
+    """Latin reading with anything but a-z and 0-9 as single spaces, trimmed."""
+    return F.trim(F.regexp_replace(F.coalesce(ascii_view(c), F.lit("")), "[^a-z0-9]+", " "))
+
+
 def _unicode_view(s: str | None) -> str:
     kept = "".join(x if unicodedata.category(x)[0] in "LN" else " " for x in unicodedata.normalize("NFKC", s or "").casefold())
     return " ".join(kept.split())

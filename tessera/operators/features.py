@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays, text
@@ -63,6 +63,13 @@ def pair_features(candidates: DataFrame, stripped: DataFrame) -> DataFrame:
     return rows.select(*PAIR, "blocking_mask", "num_blocking_methods", "blocking_methods", *FEATURES)
 
 
+def sample_features(candidates: DataFrame, stripped: DataFrame, n: int = 5000) -> DataFrame:
+    """Features of n pairs of each source, by the hash of the pair; quality.features_gate holds the sample to its size."""
+    order = Window.partitionBy("matched_source").orderBy(F.md5(F.concat_ws("|", *PAIR[:2])), *PAIR[:2])
+    some = candidates.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+    return pair_features(some, stripped)
+
+
 #: Weights of the rule score.
 PROXY = {"name_char_ratio": 0.40, "name_token_jaccard": 0.25, "address_token_jaccard": 0.20, "address_char_ratio": 0.15}
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -103,6 +104,18 @@ def score_with(df: DataFrame, fn, features: list[str]) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
+def score_batches(df: DataFrame, fn, features: list[str]) -> DataFrame:
+    """Like score_with, but fn takes an Arrow batch of features; Spark's spark.sql.execution.arrow.maxRecordsPerBatch bounds its rows."""
+    names = df.columns
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", score double"
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fn(b.select(features)), pa.float64())], names=[*names, "score"])
+
+    return df.mapInArrow(run, schema)
+
+
 def save(model, path: str) -> None:
     (model if isinstance(model, PipelineModel) else PipelineModel([model])).write().overwrite().save(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text
@@ -24,6 +24,23 @@ def with_stripped(records: DataFrame) -> DataFrame:
     return records.select("*", text.strip_accents(F.col("name_norm")).alias("name_stripped"), text.strip_accents(F.col("name_compact")).alias("name_compact_stripped"), text.strip_accents(F.col("address_norm")).alias("address_stripped"))
 
 
+def record_views(records: DataFrame) -> DataFrame:
+    """entity_id and, for name and address, a struct of the Unicode, ASCII and compact views, the tokens and the numeric tokens."""
+    out = records.select("entity_id", "country", *[text.unicode_view(f"business_{f}").alias(f"{f}_unicode") for f in ("name", "address")])
+    out = out.select("*", *[text.ascii_key(F.col(f"{f}_unicode")).alias(f"{f}_ascii") for f in ("name", "address")])
+
+    def view(f: str) -> Column:
+        a = F.col(f"{f}_ascii")
+        return F.struct(F.col(f"{f}_unicode").alias("unicode"), a.alias("ascii"), F.replace(a, F.lit(" "), F.lit("")).alias("compact"), text.tokens(a).alias("tokens"), text.numeric_tokens(a).alias("numeric_tokens")).alias(f)
+
+    return out.select("entity_id", view("name"), view("address"), text.country_norm(F.col("country")).alias("country"))
+
+
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """A different long for every row: rising within a partition, with gaps between partitions."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def key_index(records: DataFrame, key: str) -> DataFrame:
     """(source, country_norm, block_key, entity_id) where key and country are not empty."""
     return records.where((F.col(key) != "") & (F.col("country_norm") != "")).select("source", "country_norm", F.col(key).alias("block_key"), "entity_id")

@@ -8,10 +8,10 @@ from tessera.functions import text
 from tessera.operators import blocking, candidates, features, labels, metrics, models, quality, submission
 from tessera.operators import records as rec
 from tessera.plans import planted
-from tessera.plans.queries import _ALL, _BASE, _BUCKET, _BY, _ID, _MACRO, _P, _PARTS, _RATES, ORACLES, _q, _union
+from tessera.plans.queries import _ALL, _BASE, _BUCKET, _BY, _ID, _LATIN, _MACRO, _P, _PARTS, _RATES, ORACLES, _q, _union
 from tessera.sources import io
 
-_ISEMPTY = "[]::VARCHAR[]"
+_EMPTY = "[]::VARCHAR[]"
 
 
 def _sid(x: str) -> str:
@@ -19,13 +19,13 @@ def _sid(x: str) -> str:
 
 
 def _some(by: int, value: str) -> str:
-    return f"CASE WHEN d % {by} = 0 THEN [{value}] ELSE {_ISEMPTY} END"
+    return f"CASE WHEN d % {by} = 0 THEN [{value}] ELSE {_EMPTY} END"
 
 
 _D = "(SELECT doc_id AS d FROM documents WHERE doc_id % 3 = 0)"
 _IDS = f"[{_sid('d + 1')}, {_sid('d + 2')}] || {_some(5, _sid('d + 1'))} || {_some(7, _sid('d'))} || {_some(11, chr(39) + 'X9-1' + chr(39))} || {_some(13, chr(39) + 'S3-none' + chr(39))}"
 _MROW = f"SELECT {_sid('d')} AS s1, {_IDS} AS ids, d FROM {_D} WHERE d % 17 <> 0"
-_MATCHES = f"({_MROW} UNION ALL SELECT * FROM ({_MROW}) WHERE d % 19 = 0 UNION ALL SELECT 'S1-U' || d, {_ISEMPTY}, d FROM {_D} WHERE d % 23 = 0)"
+_MATCHES = f"({_MROW} UNION ALL SELECT * FROM ({_MROW}) WHERE d % 19 = 0 UNION ALL SELECT 'S1-U' || d, {_EMPTY}, d FROM {_D} WHERE d % 23 = 0)"
 _CANDS = f"(SELECT {_sid('d')} AS s1, CASE WHEN d % 29 = 0 THEN [{_sid('d + 1')}] ELSE [{_sid('d + 1')}, {_sid('d + 2')}] END AS ids, d FROM {_D})"
 _TARGETS = f"(SELECT {_ID} AS id FROM documents WHERE doc_id % 3 <> 0)"
 
@@ -119,3 +119,10 @@ _q("combined_recall", lambda c: metrics.combined(c.blocks["name"], {n: c.more_bl
 _q("rare_name_increment", lambda c: metrics.increment(candidates.union_set(c.blocks, "exact"), c.blocks["rare_name"], c.truth).select("base_pairs", "new_pairs", "new_true", "combined_pairs", "recall_gain", "new_purity", "projected_purity"), f"SELECT base_pairs, new_pairs, new_true, base_pairs + new_pairs AS combined_pairs, round(100.0::DOUBLE * new_true / (SELECT count(*) FROM truth), 6) AS recall_gain, round(100.0::DOUBLE * new_true / new_pairs, 6) AS new_purity, round(100.0::DOUBLE * (base_true + new_true) / (base_pairs + new_pairs), 6) AS projected_purity FROM (SELECT count(*) AS base_pairs, count(s) AS base_true FROM ({_has(_BASE[:3])}) LEFT JOIN (SELECT {_P}, 1 AS s FROM truth) USING ({_P})), (SELECT count(*) AS new_pairs, count(s) AS new_true FROM (SELECT {_P} FROM b_rare_name EXCEPT ({_has(_BASE[:3])})) LEFT JOIN (SELECT {_P}, 1 AS s FROM truth) USING ({_P}))")
 _q("sample_view", lambda c: c.n.orderBy("entity_id").limit(5).select("entity_id", "source", "name_norm"), "SELECT entity_id, source, name_norm FROM n ORDER BY entity_id LIMIT 5")
 _q("sample_per_source", lambda c: labels.per_source(c.n, 4).select("entity_id", "source"), "SELECT entity_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(entity_id), entity_id) AS k FROM n) WHERE k <= 4")
+_UNI = r"trim(regexp_replace(replace(lower(nfc_normalize(coalesce(business_{0}, ''))), 'ß', 'ss'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+_ASC = r"trim(regexp_replace(" + _LATIN.format("{0}_unicode") + r", '[^a-z0-9]+', ' ', 'g'))"
+_VIEWS = ", ".join(f"{f}_unicode, {f}_ascii, replace({f}_ascii, ' ', '') AS {f}_compact, array_to_string(list_filter(string_split({f}_ascii, ' '), lambda x: x <> '' AND regexp_matches(x, '[0-9]')), '|') AS {f}_numbers" for f in ("name", "address"))
+_q("record_views", lambda c: rec.record_views(c.n).select("entity_id", *[e for f in ("name", "address") for e in (F.col(f"{f}.unicode").alias(f"{f}_unicode"), F.col(f"{f}.ascii").alias(f"{f}_ascii"), F.col(f"{f}.compact").alias(f"{f}_compact"), F.array_join(f"{f}.numeric_tokens", "|").alias(f"{f}_numbers"))], "country"), f"SELECT entity_id, {_VIEWS}, country_norm AS country FROM (SELECT *, {_ASC.format('name')} AS name_ascii, {_ASC.format('address')} AS address_ascii FROM (SELECT *, {_UNI.format('name')} AS name_unicode, {_UNI.format('address')} AS address_unicode FROM n))")
+_SAMPLED = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY matched_source ORDER BY md5(source1_entity_id || '|' || matched_entity_id), source1_entity_id, matched_entity_id) AS k FROM feat) WHERE k <= 40)"
+_q("features_sample", lambda c: features.sample_features(c.pruned, c.stripped, 40).select(*io.PAIR, F.round(F.col("name_char_ratio").cast("double"), 6).alias("name_char_ratio"), "name_exact"), f"SELECT {_P}, round(name_char_ratio::DOUBLE, 6) AS name_char_ratio, name_exact FROM {_SAMPLED}")
+_q("features_sample_gate", lambda c: quality.features_gate(features.sample_features(c.pruned, c.stripped, 40), {"S2": 40, "S3": 40}).select("matched_source", "wanted", "rows", "repeated_pairs"), f"SELECT matched_source, 40::BIGINT AS wanted, count(*) AS rows, count(*) - count(DISTINCT source1_entity_id || matched_entity_id) AS repeated_pairs FROM {_SAMPLED} GROUP BY 1")

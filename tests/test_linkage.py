@@ -281,3 +281,20 @@ def test_boosting_length_by_the_entity_proxy(spark, tmp_path):
     assert (tmp_path / "i.csv").read_text().splitlines()[0] == "feature,importance" and (tmp_path / "i.csv").read_text().splitlines()[1].startswith("name_a")
     models.save(model, f"{tmp_path}/m")
     assert models.load(f"{tmp_path}/m").stages
+
+
+def test_scorers_and_row_ids(spark):
+    df = spark.range(5).selectExpr("id", "double(id) as a", "double(id * 2) as b")
+    want = [(i, float(i), 2.0 * i, 3.0 * i) for i in range(5)]
+    assert sorted(tuple(r) for r in models.score_with(df, lambda f: f["a"] + f["b"], ["a", "b"]).collect()) == want
+    import pyarrow.compute as pc
+
+    assert sorted(tuple(r) for r in models.score_batches(df, lambda b: pc.add(b.column(0), b.column(1)), ["a", "b"]).collect()) == want
+    assert len({r.row_id for r in rec.with_row_id(df.repartition(3)).collect()}) == 5
+
+
+def test_record_views_of_other_scripts(spark):
+    r = spark.createDataFrame([("S1-1", "S1", "Straße № 5, Łódź", "राम 12-3", "U.S."), ("S1-2", "S1", None, "", None)], REC)
+    a, b = rec.record_views(r).orderBy("entity_id").collect()
+    assert a.name.unicode == "strasse no 5 łódź" and a.name.ascii == "strasse no 5 lodz" and a.name.compact == "strasseno5lodz" and a.name.numeric_tokens == ["5"]
+    assert a.address.tokens[-2:] == ["12", "3"] and a.country == "us" and b.name.tokens == [] and b.country == ""
