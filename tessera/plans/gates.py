@@ -15,7 +15,7 @@ _EMPTY = "[]::VARCHAR[]"
 
 
 def _sid(x: str) -> str:
-    return f"('S' || (1 + ({x}) % 3) || '-' || lpad(({x})::VARCHAR, greatest(6, length(({x})::VARCHAR)), '0'))"
+    return f"('S' || (1 + ({x}) % 3) || '-' || lpad(({x})::VARCHAR, greatest(6, length(({x})::VARCHAR))::INTEGER, '0'))"
 
 
 def _some(by: int, value: str) -> str:

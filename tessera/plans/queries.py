@@ -20,7 +20,7 @@ def _lists(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
-_P, _ID = "source1_entity_id, matched_entity_id, matched_source", "'S' || (1 + doc_id % 3) || '-' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR)), '0')"
+_P, _ID = "source1_entity_id, matched_entity_id, matched_source", "'S' || (1 + doc_id % 3) || '-' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INTEGER, '0')"
 _TRIM = "lower(trim(coalesce({0}, '')))"
 
 
