@@ -57,26 +57,17 @@ def _words(text: str | None) -> set[str]:
 
 
 class Machine:
-    """terms (kept hashes), bias, weights, vectors."""
+    """terms (kept hashes, sorted), bias, weights, vectors."""
 
     def __init__(self, terms: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
-        self.place, self.bias, self.w, self.v = {int(t): i for i, t in enumerate(terms)}, bias, w, v
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def kept(self, words: set[str]) -> set[int]:
-        """Places of the words' kept terms."""
-        if len(self.known) > 400_000:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        if new:
-            get = self.place.get
-            self.known.update(zip(new, [tuple({p for p in map(get, r) if p is not None}) for r in _hashed(new).tolist()]))
-        return {p for w in words for p in self.known[w]}
+        self.terms, self.bias, self.w, self.v = terms, bias, w, v
 
     def score(self, text: str | None) -> float:
-        at, x = self.kept(_words(text)), self.bias
-        if at:
-            i = np.fromiter(sorted(at), np.int64, len(at))
+        x, words = self.bias, _words(text)
+        if words and len(self.terms):
+            found = _hashed(list(words)).ravel()
+            at = np.minimum(np.searchsorted(self.terms, found), len(self.terms) - 1)
+            i = np.unique(at[self.terms[at] == found])
             v = self.v[i]
             x += float(self.w[i].sum() + 0.5 * (v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum())
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
@@ -107,13 +98,15 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 20240607) -> t
         sizes = np.array([len(x) for x in parts])
         uniq, inv, m = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         doc = np.repeat(np.arange(len(some), dtype=np.uint8), sizes)[np.argsort(inv, kind="stable")]  # the rows of each term in turn
-        batches.append((labels[some], np.cumsum(sizes) - sizes, uniq.astype(np.int32), inv.astype(np.int32), doc, m, np.cumsum(m) - m))
+        batches.append((labels[some], np.cumsum(sizes) - sizes, uniq.astype(np.int32), inv.astype(np.uint16 if len(uniq) <= 1 << 16 else np.int32), doc, np.append(0, np.cumsum(m)).astype(np.int32)))
+    del place, seen, rows
     w, v, b = np.zeros(len(keep) + 1), rng.normal(0, START, (FACTORS, len(keep) + 1)).astype(np.float32), float(np.log(p / (1 - p)))
     v[:, -1], noise = 0, np.append(noise, 0)
     gw, gv, gb = np.ones(len(w)), np.ones(len(w)), 1.0
     for epoch in range(EPOCHS):
         for at in rng.permutation(len(batches)):
-            marks, rows_at, uniq, inv, doc, m, terms_at = batches[at]
+            marks, rows_at, uniq, inv, doc, ends = batches[at]
+            m, terms_at = np.diff(ends), ends[:-1]
             vu, mine = np.take(v, uniq, axis=1), uniq[:-1]
             sums = np.add.reduceat(np.take(vu, inv, axis=1), rows_at, axis=1)
             x = b + np.add.reduceat((w[uniq] - 0.5 * (vu**2).sum(axis=0))[inv], rows_at) + 0.5 * (sums**2).sum(axis=0)
