@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,6 +47,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system, where the C library can (glibc keeps it otherwise)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lower(text: Column) -> Column:
     """Lower-case A-Z alone; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

@@ -157,7 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
         return None
     rows, toxic = [np.frombuffer(t, "<u4") for t, _ in found], np.array([y for _, y in found])
     del found  # train replaces the rows
-    return train(rows, toxic)
+    machine = train(rows, toxic)
+    common.give_back()  # else the freed arrays stay with the driver while later stages run
+    return machine
 
 
 def scored(docs: DataFrame, machine: tuple | None, text_col: str = "text") -> DataFrame:
