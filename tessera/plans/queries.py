@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import blocking, candidates, decision, features, labels, metrics, models, quality, submission
+from tessera.operators import blocking, candidates, decision, features, labels, metrics, models, pairs, quality, submission
 from tessera.operators import records as rec
 from tessera.sources import io
 
@@ -244,7 +244,7 @@ _q("purity_by_mask", lambda c: metrics.purity_by(c.union, c.truth, ["blocking_ma
 _q("incremental_recall", lambda c: metrics.incremental_recall(blocking.exact(c.n, "name_norm", "name"), c.expansion, c.truth), f"SELECT *, round(100.0::DOUBLE * base_true / true_pairs, 6) AS base_recall, round(100.0::DOUBLE * (base_true + new_true) / true_pairs, 6) AS combined_recall, CASE WHEN new_true > 0 THEN round(new_pairs::DOUBLE / new_true, 6) END AS candidates_per_new_true FROM (SELECT sum(b)::BIGINT AS base_pairs, sum(m)::BIGINT AS experiment_pairs, sum(m * (1 - b))::BIGINT AS new_pairs, sum(m * (1 - b) * t)::BIGINT AS new_true, sum(b * t)::BIGINT AS base_true, sum(t)::BIGINT AS true_pairs, sum(greatest(b, m))::BIGINT AS combined_pairs FROM (SELECT {_P}, max(b) AS b, max(m) AS m, max(t) AS t FROM (SELECT {_P}, 1 AS b, 0 AS m, 0 AS t FROM b_name UNION ALL SELECT {_P}, 0, 1, 0 FROM expn UNION ALL SELECT {_P}, 0, 0, 1 FROM truth) GROUP BY ALL))")
 _FEATS = ", ".join(f"round({f}::DOUBLE, 6) AS {f}" if f.endswith(("ratio", "overlap", "jaccard")) else f for f in features.FEATURES)
 _q("pair_features", lambda c: _doubles(c.features), f"SELECT {_P}, blocking_mask, num_blocking_methods, blocking_methods, {_FEATS} FROM feat")
-_q("jaro_winkler", lambda c: features.enriched(blocking.exact(c.n, "name_norm", "name").select(*io.PAIR), c.stripped).select(*io.PAIR, F.round(text.jaro_winkler("a_address_norm", "b_address_norm"), 6).alias("similarity")).where("similarity > 0"), f"SELECT {_P}, round(jaro_winkler_similarity(a.address_norm, b.address_norm), 6) AS similarity FROM b_name JOIN n a ON a.entity_id = source1_entity_id JOIN n b ON b.entity_id = matched_entity_id WHERE jaro_winkler_similarity(a.address_norm, b.address_norm) > 0 AND a.address_norm <> ''")
+_q("jaro_winkler", lambda c: pairs.exact(c.n, "name_norm", "name", ["address_norm"]).select(*io.PAIR, F.round(text.jaro_winkler("a_address_norm", "b_address_norm"), 6).alias("similarity")).where("similarity > 0"), f"SELECT {_P}, round(jaro_winkler_similarity(a.address_norm, b.address_norm), 6) AS similarity FROM b_name JOIN n a ON a.entity_id = source1_entity_id JOIN n b ON b.entity_id = matched_entity_id WHERE jaro_winkler_similarity(a.address_norm, b.address_norm) > 0 AND a.address_norm <> ''")
 _q("label_pairs", lambda c: c.labelled.select(*io.PAIR, "label"), f"SELECT {_P}, label FROM lab")
 _BUCKET = "(('0x' || substr(md5({0}), 1, 8))::BIGINT % {1})::INTEGER"
 _q("split_buckets", lambda c: labels.split(c.union)[1].select(*io.PAIR), f"SELECT {_P} FROM uni WHERE {_BUCKET.format('source1_entity_id', 10)} >= 8")
