@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from functools import cached_property
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import blocking, candidates, decision, features, labels, metrics, models, pairs, quality, submission
+from tessera.operators import blocking, candidates, crowd, decision, features, labels, metrics, models, pairs, quality, submission
 from tessera.operators import records as rec
 from tessera.sources import io
 
@@ -184,6 +185,51 @@ class Context:
         return lab.select(*io.PAIR, F.round(features.proxy(lab.columns), 6).alias("score"), "label")
 
 
+    # Pairs of one name are scored in their cells (operators/crowd.py); all of them are pruned candidates, whatever other block has them.
+    @cached_property
+    def alone(self) -> bool:
+        """Whether ids name one record each; where they do not, all pairs take the plain way."""
+        return pairs.unique_ids(self.stripped)
+
+    @cached_property
+    def others(self) -> DataFrame:
+        """Scored and labelled candidates that share no name (all candidates where ids repeat), written once."""
+        rows = self.pruned
+        if self.alone:
+            union = candidates.union_provenance([p for name, p in self.blocks.items() if name != "name"])
+            rows = candidates.prune_medium(union, self.stripped, named=False)
+        rows = labels.label_pairs(features.pair_features(rows, self.stripped).select(*io.PAIR, *features.PROXY), self.truth)
+        return io.kept(rows.select(*io.PAIR, F.round(features.proxy(rows.columns), 6).alias("score"), "label", *[F.col(p).cast("double").alias(p) for p in features.PROXY]))
+
+    def asked(self, ask: crowd.Ask, least=None) -> DataFrame:
+        """Scored pairs (score, label, best) of which only those that ask can do without are missing."""
+        rest = self.others.select(*io.PAIR, "score", "label", F.lit(True).alias("best"))
+        return crowd.answers(self.stripped, ask, least).unionByName(rest) if self.alone else rest
+
+    def counted(self, settings: list[tuple], chosen: DataFrame) -> DataFrame:
+        """(setting, source1_entity_id, p, tp) of all candidates; chosen has those of others that pass, by setting."""
+        rest = metrics.counts_by(chosen, "setting", self.truth)
+        if not self.alone:
+            return rest
+        rows = crowd.answers(self.stripped, crowd.Count(settings)).unionByName(rest)
+        return rows.groupBy("setting", "source1_entity_id").agg(F.sum("p").alias("p"), F.sum("tp").alias("tp"))
+
+    def at_thresholds(self, thresholds: list[float]) -> DataFrame:
+        """metrics.counts_by() of the rule score at every threshold."""
+        steps = F.array(*[F.lit(float(t)) for t in thresholds])
+        chosen = self.others.select(*io.PAIR, F.explode(F.filter(steps, lambda t: F.col("score") >= t)).alias("setting"))
+        return self.counted([(float(t), float(t)) for t in thresholds], chosen)
+
+    def threshold_grid(self, thresholds: list[float]) -> DataFrame:
+        grid = metrics.grid_of_counts(self.at_thresholds(thresholds), "setting", [float(t) for t in thresholds], self.truth, self.entities)
+        return grid.withColumnRenamed("setting", "threshold")
+
+    def blend_grid(self, parts: list[str], thresholds: list[float], blends: dict) -> DataFrame:
+        settings = [(float(i), float(t), tuple(x / float(sum(w)) for x in w)) for i, (w, t) in enumerate(product(blends.values(), thresholds))]
+        per = self.counted(settings, metrics.blend_choices(self.others, parts, thresholds, blends))
+        return metrics.named_blends(metrics.grid_of_counts(per, "setting", [s[0] for s in settings], self.truth, self.entities), thresholds, blends)
+
+
 def _q(name: str, fn, sql: str | None) -> None:
     QUERIES[name] = lambda spark, sf_dir: fn(Context(spark, sf_dir))
     if sql:
@@ -255,7 +301,7 @@ _q("training_matrix", lambda c: labels.training_matrix(c.labelled).select(*io.PA
 _q("entity_sample", lambda c: labels.entity_sample(c.union, 30).select(*io.PAIR), f"SELECT {_P} FROM uni WHERE {_BUCKET.format('source1_entity_id', 100)} < 30")
 _q("rule_baseline", lambda c: models.rule_score(c.labelled).select(*io.PAIR, "prediction", "label"), f"SELECT {_P}, CASE WHEN country_exact = 1 AND (name_exact = 1 OR name_compact_exact = 1 OR address_exact = 1 OR address_compact_exact = 1) THEN 1 ELSE 0 END AS prediction, label FROM lab")
 _SC = f"SELECT {_P}, score FROM "
-_q("decide_threshold", lambda c: decision.threshold(c.scored, 0.585).select(*io.PAIR, "score"), _SC + "sc WHERE score >= 0.585")
+_q("decide_threshold", lambda c: decision.threshold(c.asked(crowd.Ask(), F.lit(0.585)), 0.585).select(*io.PAIR, "score"), _SC + "sc WHERE score >= 0.585")
 _q("decide_margin", lambda c: decision.margin(c.scored, 0.5, 0.05).select(*io.PAIR, "score"), _SC + "(SELECT *, max(score) OVER (PARTITION BY source1_entity_id) AS m FROM sc WHERE score >= 0.5) WHERE score >= m - 0.05::DOUBLE")
 _q("decide_country_topk", lambda c: decision.country_topk(c.scored, c.n, {"de": 0.6, "en": 0.5}, 0.55, 0.05, 2).select(*io.PAIR, "score"), _SC + "(SELECT s.*, max(score) OVER (PARTITION BY source1_entity_id) AS m, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, matched_entity_id, matched_source) AS r FROM sc s JOIN n ON entity_id = source1_entity_id WHERE score >= CASE country_norm WHEN 'de' THEN 0.6 WHEN 'en' THEN 0.5 ELSE 0.55 END) WHERE score >= m - 0.05::DOUBLE AND r <= 2")
 _AD = "(SELECT *, max(score) OVER w AS m, count(*) FILTER (WHERE score >= 0.585) OVER w AS b, count(*) OVER w AS a FROM sc WINDOW w AS (PARTITION BY source1_entity_id)) WHERE score >= "
