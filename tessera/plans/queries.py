@@ -302,7 +302,7 @@ _q("entity_sample", lambda c: labels.entity_sample(c.union, 30).select(*io.PAIR)
 _q("rule_baseline", lambda c: models.rule_score(c.labelled).select(*io.PAIR, "prediction", "label"), f"SELECT {_P}, CASE WHEN country_exact = 1 AND (name_exact = 1 OR name_compact_exact = 1 OR address_exact = 1 OR address_compact_exact = 1) THEN 1 ELSE 0 END AS prediction, label FROM lab")
 _SC = f"SELECT {_P}, score FROM "
 _q("decide_threshold", lambda c: decision.threshold(c.asked(crowd.Ask(), F.lit(0.585)), 0.585).select(*io.PAIR, "score"), _SC + "sc WHERE score >= 0.585")
-_q("decide_margin", lambda c: decision.margin(c.scored, 0.5, 0.05).select(*io.PAIR, "score"), _SC + "(SELECT *, max(score) OVER (PARTITION BY source1_entity_id) AS m FROM sc WHERE score >= 0.5) WHERE score >= m - 0.05::DOUBLE")
+_q("decide_margin", lambda c: decision.margin(c.asked(crowd.Ask(margin=0.05), F.lit(0.5)), 0.5, 0.05).select(*io.PAIR, "score"), _SC + "(SELECT *, max(score) OVER (PARTITION BY source1_entity_id) AS m FROM sc WHERE score >= 0.5) WHERE score >= m - 0.05::DOUBLE")
 _q("decide_country_topk", lambda c: decision.country_topk(c.asked(crowd.Ask(top=2), decision.least_of({"de": 0.6, "en": 0.5}, 0.55)), c.stripped, {"de": 0.6, "en": 0.5}, 0.55, 0.05, 2).select(*io.PAIR, "score"), _SC + "(SELECT s.*, max(score) OVER (PARTITION BY source1_entity_id) AS m, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, matched_entity_id, matched_source) AS r FROM sc s JOIN n ON entity_id = source1_entity_id WHERE score >= CASE country_norm WHEN 'de' THEN 0.6 WHEN 'en' THEN 0.5 ELSE 0.55 END) WHERE score >= m - 0.05::DOUBLE AND r <= 2")
 _AD = "(SELECT *, max(score) OVER w AS m, count(*) FILTER (WHERE score >= 0.585) OVER w AS b, count(*) OVER w AS a FROM sc WINDOW w AS (PARTITION BY source1_entity_id)) WHERE score >= "
 _LEVEL = "greatest(0.5::DOUBLE, 0.9::DOUBLE * m)"
