@@ -310,7 +310,7 @@ for _v, _cond in (("standard", "true"), ("a", "b >= 2"), ("b", "a >= 3")):
     _q(f"decide_adaptive_{_v}", lambda c, v=_v: decision.adaptive(c.scored, 0.5, 0.9, v).select(*io.PAIR, "score"), _SC + _AD + f"CASE WHEN {_cond} THEN {_LEVEL} ELSE 0.585::DOUBLE END")
 _COUNTS = "(SELECT e.source1_entity_id, coalesce(p, 0) AS p, coalesce(t, 0) AS t, coalesce(tp, 0) AS tp FROM ent e LEFT JOIN (SELECT s.source1_entity_id, count(*) AS p, count(x) AS tp FROM (SELECT * FROM sc WHERE score >= {0}) s LEFT JOIN (SELECT *, 1 AS x FROM truth) USING (" + _P + ") GROUP BY 1) USING (source1_entity_id) LEFT JOIN (SELECT source1_entity_id, count(*) AS t FROM truth GROUP BY 1) USING (source1_entity_id))"
 _F = "CASE WHEN p = 0 AND t = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25::DOUBLE * tp / (p + 0.25::DOUBLE * t) END"
-_q("macro_f05", lambda c: metrics.macro(decision.threshold(c.scored, 0.585), c.truth, c.entities), f"SELECT round(avg({_F}), 6) AS macro_f05, round(avg(CASE WHEN p = 0 AND t = 0 THEN 1.0 WHEN p = 0 THEN 0.0 ELSE tp::DOUBLE / p END), 6) AS macro_precision, round(avg(CASE WHEN t = 0 THEN 1.0 ELSE tp::DOUBLE / t END), 6) AS macro_recall, count(*) AS total_entities, count(*) FILTER (WHERE t = 0) AS total_singletons, count(*) FILTER (WHERE t = 0 AND p = 0) AS correct_singletons FROM {_COUNTS.format('0.585')}")
+_q("macro_f05", lambda c: metrics.macro_of_counts(c.at_thresholds([0.585]), c.truth, c.entities), f"SELECT round(avg({_F}), 6) AS macro_f05, round(avg(CASE WHEN p = 0 AND t = 0 THEN 1.0 WHEN p = 0 THEN 0.0 ELSE tp::DOUBLE / p END), 6) AS macro_precision, round(avg(CASE WHEN t = 0 THEN 1.0 ELSE tp::DOUBLE / t END), 6) AS macro_recall, count(*) AS total_entities, count(*) FILTER (WHERE t = 0) AS total_singletons, count(*) FILTER (WHERE t = 0 AND p = 0) AS correct_singletons FROM {_COUNTS.format('0.585')}")
 _GRID = [0.3, 0.4, 0.5, 0.585, 0.7, 0.8, 0.9]
 _GRID_SQL = " UNION ALL ".join(f"SELECT {t}::DOUBLE AS threshold, count(*) AS entities, sum(tp)::BIGINT AS tp, sum(p - tp)::BIGINT AS fp, sum(t - tp)::BIGINT AS fn, sum(p)::BIGINT AS predicted_pairs, sum(t)::BIGINT AS true_pairs, round(avg({_F}), 6) AS macro_f05, round(avg(CASE WHEN p = 0 THEN 0.0 ELSE tp::DOUBLE / p END), 6) AS macro_precision, round(avg(CASE WHEN t = 0 THEN 0.0 ELSE tp::DOUBLE / t END), 6) AS macro_recall FROM {_COUNTS.format(t)}" for t in _GRID)
 _q("threshold_grid", lambda c: metrics.threshold_grid(c.scored, c.truth, c.entities, _GRID), _GRID_SQL)
