@@ -297,7 +297,7 @@ _q("split_buckets", lambda c: labels.split(c.union)[1].select(*io.PAIR), f"SELEC
 _q("hard_negatives", lambda c: labels.hardest(c.asked(crowd.Ask(top=3, negative=True)), 3), f"SELECT * FROM (SELECT {_P}, score AS proxy, row_number() OVER (PARTITION BY source1_entity_id, matched_source ORDER BY score DESC, md5(matched_entity_id), matched_entity_id)::INTEGER AS rnk FROM sc WHERE label = 0) WHERE rnk <= 3")
 _PB = _BUCKET.format("source1_entity_id || '|' || matched_entity_id", 1000000)
 _q("balanced_sample", lambda c: labels.balanced(c.scored).select(*io.PAIR, "label"), f"SELECT {_P}, label FROM sc, (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM sc) WHERE label = 1 OR {_PB} < round(least(1.0::DOUBLE, 3.0::DOUBLE * p / n) * 1e6)")
-_q("training_matrix", lambda c: labels.training_matrix(c.labelled).select(*io.PAIR, "label"), f"SELECT {_P}, label FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, matched_source, label ORDER BY score DESC, md5(matched_entity_id), matched_entity_id) AS k FROM sc) WHERE label = 1 OR k <= 3 OR {_PB} < 100000")
+_q("training_matrix", lambda c: labels.matrix_of(c.asked(crowd.Ask(top=3, negative=True, easy=100_000))), f"SELECT {_P}, label FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, matched_source, label ORDER BY score DESC, md5(matched_entity_id), matched_entity_id) AS k FROM sc) WHERE label = 1 OR k <= 3 OR {_PB} < 100000")
 _q("entity_sample", lambda c: labels.entity_sample(c.union, 30).select(*io.PAIR), f"SELECT {_P} FROM uni WHERE {_BUCKET.format('source1_entity_id', 100)} < 30")
 _q("rule_baseline", lambda c: models.rule_score(c.labelled).select(*io.PAIR, "prediction", "label"), f"SELECT {_P}, CASE WHEN country_exact = 1 AND (name_exact = 1 OR name_compact_exact = 1 OR address_exact = 1 OR address_compact_exact = 1) THEN 1 ELSE 0 END AS prediction, label FROM lab")
 _SC = f"SELECT {_P}, score FROM "
