@@ -194,10 +194,11 @@ class Context:
     @cached_property
     def others(self) -> DataFrame:
         """Scored and labelled candidates that share no name (all candidates where ids repeat), written once."""
-        rows = self.pruned
-        if self.alone:
+        if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made
             union = candidates.union_provenance([p for name, p in self.blocks.items() if name != "name"])
             rows = candidates.prune_medium(union, self.stripped, named=False)
+        else:
+            rows = self.pruned
         rows = labels.label_pairs(features.pair_features(rows, self.stripped).select(*io.PAIR, *features.PROXY), self.truth)
         return io.kept(rows.select(*io.PAIR, F.round(features.proxy(rows.columns), 6).alias("score"), "label", *[F.col(p).cast("double").alias(p) for p in features.PROXY]))
 

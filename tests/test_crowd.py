@@ -95,3 +95,12 @@ def test_pruning_may_leave_pairs_of_one_name_to_their_cells(spark):
     assert candidates.prune_medium(rows, records).count() == 2
     assert [r.matched_entity_id for r in candidates.prune_medium(rows, records, named=False).collect()] == ["S2-2"]
     assert pairs.unique_ids(records)
+
+
+def test_other_candidates_do_not_make_the_union_of_all_blocks(spark):
+    """That union was written, with every pair of one name, before the cells were asked."""
+    from tessera.plans import queries
+
+    c = queries.Context(spark, "/root/testdata/sf0.001")
+    c.others
+    assert "union" not in c.__dict__ and "pruned" not in c.__dict__
