@@ -191,12 +191,17 @@ class Context:
         """Whether ids name one record each; where they do not, all pairs take the plain way."""
         return pairs.unique_ids(self.stripped)
 
+    @cached_property
+    def unnamed(self) -> DataFrame:
+        """Candidates that share no name, written once."""
+        union = candidates.union_provenance([p for name, p in self.blocks.items() if name != "name"])
+        return io.kept(candidates.without_shared_name(union, self.stripped))
+
     @cached_property
     def others(self) -> DataFrame:
         """Scored and labelled candidates that share no name (all candidates where ids repeat), written once."""
         if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made
-            union = candidates.union_provenance([p for name, p in self.blocks.items() if name != "name"])
-            rows = candidates.prune_medium(union, self.stripped, named=False)
+            rows = candidates.prune_medium(self.unnamed, self.stripped, named=False)
         else:
             rows = self.pruned
         rows = labels.label_pairs(features.pair_features(rows, self.stripped).select(*io.PAIR, *features.PROXY), self.truth)

@@ -104,3 +104,34 @@ def test_other_candidates_do_not_make_the_union_of_all_blocks(spark):
     c = queries.Context(spark, "/root/testdata/sf0.001")
     c.others
     assert "union" not in c.__dict__ and "pruned" not in c.__dict__
+
+
+def test_listed_pairs_of_one_name_are_checked_in_their_cells(spark, crowded, monkeypatch):
+    """Validation wrote, joined and listed each pair of one name before; the counts are those of the lists, faulty ids included."""
+    from tessera.operators import submission
+
+    records, scored = crowded
+    entities = records.where("source = 'S1'").select(F.col("entity_id").alias(PAIR[0]))
+    swap = {"S2-1": "S1-X", "S3-2": "X9-1", "S2-4": "T", "S3-203": "S3-unknown"}
+    renamed = lambda c: F.coalesce(F.create_map(*[F.lit(x) for kv in swap.items() for x in kv])[F.col(c)], F.col(c)).alias(c)
+    bad = records.select(*[renamed(c) if c == "entity_id" else c for c in records.columns])
+    pairs_ = scored.select(PAIR[0], renamed(PAIR[1]), PAIR[2], "score")
+    targets = records.where("source <> 'S1' and entity_id <> 'S2-7'")
+    assert submission.listable(bad) and not submission.listable(bad.unionByName(bad.where("source = 'S2'").withColumn("source", F.lit("S3"))))
+    none = pairs_.where("false")
+    lists = lambda p: (submission.result_lists(p.where(f"score >= {t}"), entities), submission.result_lists(p, entities, "candidate_entity_ids"))
+    for dense, t in ((1, 0.585), (1, 0.75), (10**6, 0.75), (10**6, 0.3)):
+        monkeypatch.setattr(crowd, "DENSE", dense)
+        counts = crowd.answers(submission.marked(bad, targets), crowd.Listed(t), mark=F.col("mark"))
+        got = submission.with_pairs(submission.validate(*lists(none), entities, targets), counts)
+        want = submission.validate(*lists(pairs_), entities, targets)
+        assert _rows(got, ["check", "failures"]) == _rows(want, ["check", "failures"])
+        assert {r.check for r in want.where("failures > 0").collect()} >= {"matches: unknown id", "candidates: bad prefix", "candidates: source-1 id"}
+
+
+def test_validating_a_submission_does_not_make_the_union_of_all_blocks(spark):
+    from tessera.plans import gates, queries
+
+    c = queries.Context(spark, "/root/testdata/sf0.001")
+    assert gates._submitted(c, 0.585).count() == 15
+    assert "union" not in c.__dict__ and "pruned" not in c.__dict__
