@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 from itertools import product
 
@@ -235,6 +236,15 @@ class Context:
         per = self.counted(settings, metrics.blend_choices(self.others, parts, thresholds, blends))
         return metrics.named_blends(metrics.grid_of_counts(per, "setting", [s[0] for s in settings], self.truth, self.entities), thresholds, blends)
 
+    def calibrated(self, thresholds: dict[str, list[float]], deltas: list[float], tops: list[int], other: float) -> DataFrame:
+        """metrics.calibration_grid(); of the pairs of one name a record's best leave the cells, as no combination takes others."""
+        least = decision.least_of({n: min(ts) for n, ts in thresholds.items()}, other)
+        chosen = metrics.calibration_choices(self.asked(crowd.Best(max(tops)), least).drop("best"), self.stripped, thresholds, deltas, tops, other)
+        per = chosen.groupBy("setting", "source1_entity_id").agg(F.count(F.lit(1)).alias("p"), F.sum("label").alias("tp"))
+        settings = [float(i) for i in range(math.prod(map(len, [*thresholds.values(), deltas, tops])))]
+        grid = metrics.grid_of_counts(per, "setting", settings, self.truth, self.entities, metrics.true_counts(self.stripped) if self.alone else None)
+        return metrics.named_settings(grid, thresholds, deltas, tops)
+
 
 def _q(name: str, fn, sql: str | None) -> None:
     QUERIES[name] = lambda spark, sf_dir: fn(Context(spark, sf_dir))
@@ -346,7 +356,7 @@ _NAMES = "(VALUES " + ", ".join(f"('{n}')" for n in _W) + ") w(blend)"
 _q("weight_grid", lambda c: metrics.weight_grid(c.features.select(*io.PAIR, *[F.col(p).cast("double").alias(p) for p in _PARTS]), _PARTS, c.truth, c.entities, _GRID, _W), f"SELECT blend, threshold, {_MACRO} FROM " + _BY.format(grid=f"{_STEPS} CROSS JOIN {_NAMES}", key="blend, threshold", chosen=f"(SELECT * FROM ({_BLENDED}) CROSS JOIN {_STEPS} WHERE score >= threshold)") + " GROUP BY blend, threshold")
 _CAL = "(SELECT * FROM (SELECT s.*, c.*, max(score) OVER (PARTITION BY t_de, t_en, delta, top_k, source1_entity_id) AS m, row_number() OVER (PARTITION BY t_de, t_en, delta, top_k, source1_entity_id ORDER BY score DESC, matched_entity_id, matched_source) AS r FROM sc s JOIN n ON entity_id = source1_entity_id CROSS JOIN {grid} c WHERE score >= CASE country_norm WHEN 'de' THEN t_de WHEN 'en' THEN t_en ELSE 0.55::DOUBLE END) WHERE score >= m - delta AND r <= top_k)"
 _CALS = "(SELECT * FROM (VALUES (0.5::DOUBLE), (0.6::DOUBLE)) a(t_de), (VALUES (0.45::DOUBLE), (0.585::DOUBLE), (0.7::DOUBLE)) b(t_en), (VALUES (0.05::DOUBLE), (0.2::DOUBLE)) c(delta), (VALUES (1::INTEGER), (8::INTEGER)) d(top_k))"
-_q("calibration_grid", lambda c: metrics.calibration_grid(c.scored, c.n, c.truth, c.entities, {"de": [0.5, 0.6], "en": [0.45, 0.585, 0.7]}, [0.05, 0.2], [1, 8], 0.55), f"SELECT t_de, t_en, delta, top_k, {_MACRO} FROM " + _BY.format(grid=_CALS, key="t_de, t_en, delta, top_k", chosen=_CAL.format(grid=_CALS)) + " GROUP BY t_de, t_en, delta, top_k")
+_q("calibration_grid", lambda c: c.calibrated({"de": [0.5, 0.6], "en": [0.45, 0.585, 0.7]}, [0.05, 0.2], [1, 8], 0.55), f"SELECT t_de, t_en, delta, top_k, {_MACRO} FROM " + _BY.format(grid=_CALS, key="t_de, t_en, delta, top_k", chosen=_CAL.format(grid=_CALS)) + " GROUP BY t_de, t_en, delta, top_k")
 
 
 def _gbt(c: Context) -> DataFrame:

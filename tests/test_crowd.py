@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
@@ -188,3 +189,43 @@ def test_the_gate_makes_neither_all_pairs_nor_features_twice(spark):
     assert not {"union", "pruned", "features"} & set(c.__dict__)
     rows = spark.createDataFrame([("S1-1", "S2-1", "S2", 0.5, 1, 1)], "source1_entity_id string, matched_entity_id string, matched_source string, name_char_ratio float, name_exact tinyint, block_name tinyint")
     assert "Union" not in planted.features(rows)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_bound_is_no_less_than_the_score():
+    r = random.Random(11)
+    for letters, most in (("ab", 12), ("abcde é", 70), ("abcdefgh éà", 130), ("abc", 400), ("ab\0", 9)):
+        two = [b"", *("".join(r.choice(letters) for _ in range(r.randint(0, most))).encode() for _ in range(80))]
+        bags = crowd._Bags(two)
+        for a in [*two[:30], b"xyz", b"abxyz" * 30]:
+            assert (bags.bound(a) >= [text._jaro_winkler(a, b) for b in two]).all()
+
+
+@pytest.mark.parametrize("dense, wide, top", [(1, 500, 3), (1, 10**6, 8), (1, 10**6, 30), (5, 10**6, 1), (10**6, 500, 8), (10**6, 10**6, 2)])
+def test_only_the_best_pairs_of_a_record_leave_a_cell(spark, crowded, monkeypatch, dense, wide, top):
+    """Every pair was scored by Jaro-Winkler and ranked before; the best of each record and their order are the same, ties included."""
+    monkeypatch.setattr(crowd, "DENSE", dense)
+    monkeypatch.setattr(crowd, "WIDE", wide)
+    monkeypatch.setattr(crowd, "HELD", 60)
+    monkeypatch.setattr(crowd, "AT_ONCE", 700)
+    monkeypatch.setattr(crowd.Best, "MEET", (4, 9))
+    records, scored = crowded
+    by = Window.partitionBy(PAIR[0]).orderBy(F.col("score").desc(), PAIR[1], PAIR[2])
+    best = lambda df: df.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= top)
+    got = crowd.answers(records, crowd.Best(top), decision.least_of({"de": 0.72}, 0.66)).localCheckpoint()
+    country = records.select(F.col("entity_id").alias(PAIR[0]), "country_norm")
+    want = best(scored.join(country, PAIR[0]).where(F.col("score") >= decision.least_of({"de": 0.72}, 0.66)))
+    columns = [*PAIR, "score", "label", "_n"]
+    assert _rows(best(got), columns) == _rows(want, columns)
+    assert wide == 500 or got.count() == want.count()
+
+
+def test_calibration_leaves_all_but_the_best_pairs_in_their_cells(spark):
+    """All pairs of one name were written, joined and scored one by one before; the grid is that of all of them."""
+    from tessera.plans import queries
+
+    c, steps = queries.Context(spark, "/root/testdata/sf0.001"), ({"de": [0.5, 0.6], "en": [0.45, 0.7]}, [0.05, 0.2], [1, 8], 0.55)
+    grid = c.calibrated(*steps)
+    assert not {"union", "pruned", "features", "scored"} & set(c.__dict__)
+    want = metrics.calibration_grid(c.scored, c.n, c.truth, c.entities, *steps)
+    assert _rows(grid, want.columns) == _rows(want, want.columns) and grid.count() == 16
+    assert _rows(metrics.true_counts(c.stripped), [PAIR[0], "t"]) == _rows(c.truth.groupBy(PAIR[0]).agg(F.count(F.lit(1)).alias("t")), [PAIR[0], "t"])
