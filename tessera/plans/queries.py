@@ -192,20 +192,26 @@ class Context:
         """Whether ids name one record each; where they do not, all pairs take the plain way."""
         return pairs.unique_ids(self.stripped)
 
+    def unnamed_blocks(self) -> DataFrame:
+        """The union of all blocks but the name's, without most pairs that share a name: no exact block makes them."""
+        exact = [blocking.exact(self.stripped, key, name, apart="name_norm") for key, name in (("address_norm", "address"), ("address_compact", "address_compact"))]
+        return candidates.union_provenance([*exact, *[self.blocks[name] for name in ("rare_name", "rare_address")]])
+
     @cached_property
     def unnamed(self) -> DataFrame:
         """Candidates that share no name, written once."""
-        union = candidates.union_provenance([p for name, p in self.blocks.items() if name != "name"])
-        return io.kept(candidates.without_shared_name(union, self.stripped))
+        return io.kept(candidates.without_shared_name(self.unnamed_blocks(), self.stripped))
 
     @cached_property
     def others(self) -> DataFrame:
         """Scored and labelled candidates that share no name (all candidates where ids repeat), written once."""
-        if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made
-            rows = candidates.prune_medium(self.unnamed, self.stripped, named=False)
+        if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made; pairs meet their records once
+            union = self.__dict__.get("unnamed")
+            rows = features.enriched(candidates.prunable(self.unnamed_blocks() if union is None else union), self.stripped, ["truth_key"]).where(candidates.medium(named=False))
+            label = F.coalesce(F.col("a_truth_key") == F.col("b_truth_key"), F.lit(False)).cast("tinyint").alias("label")
+            rows = features.proxy_parts(rows, *io.PAIR, label)
         else:
-            rows = self.pruned
-        rows = labels.label_pairs(features.pair_features(rows, self.stripped).select(*io.PAIR, *features.PROXY), self.truth)
+            rows = labels.label_pairs(features.pair_features(self.pruned, self.stripped).select(*io.PAIR, *features.PROXY), self.truth)
         return io.kept(rows.select(*io.PAIR, F.round(features.proxy(rows.columns), 6).alias("score"), "label", *[F.col(p).cast("double").alias(p) for p in features.PROXY]))
 
     def asked(self, ask: crowd.Ask, least=None) -> DataFrame:

@@ -229,3 +229,18 @@ def test_calibration_leaves_all_but_the_best_pairs_in_their_cells(spark):
     want = metrics.calibration_grid(c.scored, c.n, c.truth, c.entities, *steps)
     assert _rows(grid, want.columns) == _rows(want, want.columns) and grid.count() == 16
     assert _rows(metrics.true_counts(c.stripped), [PAIR[0], "t"]) == _rows(c.truth.groupBy(PAIR[0]).agg(F.count(F.lit(1)).alias("t")), [PAIR[0], "t"])
+
+
+def test_other_candidates_meet_their_records_once(spark):
+    """They met their records to drop those of one name, to be pruned and to be compared, and the truth pairs; scores and labels are the same."""
+    from tessera.plans import queries
+
+    c = queries.Context(spark, "/root/testdata/sf0.01")
+    named = candidates.with_shared_name(c.scored, c.stripped).where("not _named")
+    assert _rows(c.others, [*PAIR, "score", "label"]) == _rows(named, [*PAIR, "score", "label"])
+    assert "unnamed" not in c.__dict__ and c.others.count() > 100
+    blocks = c.unnamed_blocks()
+    twice = candidates.with_shared_name(blocks, c.stripped).where("_named and (blocking_mask & 7) <> 0")
+    assert twice.isEmpty()  # they were made, counted and joined before they were dropped
+    union = candidates.with_shared_name(c.union, c.stripped).where("not _named")
+    assert _rows(c.unnamed, blocks.columns) == _rows(union, blocks.columns)
