@@ -205,9 +205,10 @@ class Context:
     @cached_property
     def others(self) -> DataFrame:
         """Scored and labelled candidates that share no name (all candidates where ids repeat), written once."""
-        if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made; pairs meet their records once
+        if self.alone:  # the union of all blocks, which would write the pairs of one name, is not made; only pairs that pruning keeps meet all columns
             union = self.__dict__.get("unnamed")
-            rows = features.enriched(candidates.prunable(self.unnamed_blocks() if union is None else union), self.stripped, ["truth_key"]).where(candidates.medium(named=False))
+            few = candidates.prune_medium(self.unnamed_blocks() if union is None else union, self.stripped, named=False)
+            rows = features.enriched(few, self.stripped, ["truth_key"])
             label = F.coalesce(F.col("a_truth_key") == F.col("b_truth_key"), F.lit(False)).cast("tinyint").alias("label")
             rows = features.proxy_parts(rows, *io.PAIR, label)
         else:

@@ -231,8 +231,8 @@ def test_calibration_leaves_all_but_the_best_pairs_in_their_cells(spark):
     assert _rows(metrics.true_counts(c.stripped), [PAIR[0], "t"]) == _rows(c.truth.groupBy(PAIR[0]).agg(F.count(F.lit(1)).alias("t")), [PAIR[0], "t"])
 
 
-def test_other_candidates_meet_their_records_once(spark):
-    """They met their records to drop those of one name, to be pruned and to be compared, and the truth pairs; scores and labels are the same."""
+def test_other_candidates_meet_their_records_twice(spark):
+    """They met their records to drop those of one name, to be pruned and to be compared, and then the truth pairs; scores and labels are the same."""
     from tessera.plans import queries
 
     c = queries.Context(spark, "/root/testdata/sf0.01")
