@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], names=["terms", "toxic"])
 
     rows = docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
-    found = rows.mapInArrow(run, "terms binary, toxic int").groupBy("terms").agg(F.max("toxic").alias("toxic"))
+    found = common.mapped(rows, run, "terms binary, toxic int").groupBy("terms").agg(F.max("toxic").alias("toxic"))
     found = sorted((bytes(r[0]), r[1]) for r in found.toLocalIterator())  # at most `sample` rows
     if not found:
         return None
@@ -174,14 +174,14 @@ def scored(docs: DataFrame, machine: tuple | None, text_col: str = "text") -> Da
             got = [m.score(t.as_py()) if m else 0.0 for t in batch.column(names.index(text_col))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], names=[*names, "score"])
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return common.mapped(docs.select(*names), run, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that score 0.5 or more; the machine learns from all labelled documents."""
     machine = fit(docs, labels)
     cols = docs.columns
-    out = scored(docs.select("text", *[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)]), machine).where("score < 0.5")
+    out = scored(docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)]), machine, f"_{cols.index('text')}").where("score < 0.5")
     return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(cols)])
 
 

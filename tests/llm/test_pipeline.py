@@ -85,3 +85,33 @@ def test_pipeline_on_odd_and_empty_rows(spark, odd, empty):
             if i < 3:
                 assert docs.count() == (left if i else before.count())
         assert docs.where("text is null or text in ('', 'short') and doc_id <> 8").count() == 0 and docs.count() >= min(left, 5)
+
+
+def test_python_workers_get_small_batches_and_each_text_once(spark, monkeypatch):
+    """What the executors hold for Python: bounded batches, no column twice, and no workers to read a list of a few rows."""
+    import pyarrow as pa
+    from pyspark import SparkContext
+
+    from tessera.llm import common, toxicity
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    got = common.mapped(spark.range(0, 300, 1, 1).selectExpr("repeat('x', 100000) AS text"), sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 300 and max(r.size for r in got) <= common.BATCH_BYTES + 200_000
+
+    docs, sent = spark.createDataFrame([(1, "a b", "x"), (2, None, "y")], "doc_id long, text string, score string"), []
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    whole = toxicity.scored
+    monkeypatch.setattr(toxicity, "scored", lambda d, *a: sent.append(d.columns) or whole(d, *a))
+    assert sorted(tuple(r) for r in toxicity.without_toxic(docs, labels).collect()) == [(1, "a b", "x"), (2, None, "y")]
+    assert [len(c) for c in sent] == [len(docs.columns)]
+
+    def none(*_):
+        raise AssertionError("rows in a list go through Python workers")
+
+    monkeypatch.setattr(SparkContext, "parallelize", none)
+    for n in (5, 0):
+        out, total = common.ranked(docs.select("doc_id").crossJoin(spark.range(n)).select("id").distinct(), ["id"], "rank")
+        assert total == n and sorted((r.id, r["rank"]) for r in out.collect()) == [(i, i) for i in range(n)]
